@@ -104,3 +104,34 @@ def components(scratch: Scratch, edges: DataFrame, rounds: int = 60) -> DataFram
                 now.select("v", "v").distinct())
         mark = seen
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def keyed(scratch: Scratch, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(rid, key, t): rid numbers the rows in the order of (key, text), t is the text's UTF-8 bytes.
+
+    Where keys are unique, rid is the key. Else (repeated or null keys; nulls come first) the rows
+    are written once in that order and numbered; equal rows are then rows of their own.
+    """
+    own = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("t"))
+    twice = own.groupBy("key").count().filter("count > 1 or key is null").limit(1).count()
+    if not twice and docs.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+        return own.select(F.col("key").cast("long").alias("rid"), "key", "t")
+    return scratch.save(own.repartitionByRange("key", F.xxhash64("t")).sortWithinPartitions("key", "t").select(
+        F.monotonically_increasing_id().alias("rid"), "key", "t"))
+
+
+def cut_spans(docs: DataFrame, spans: DataFrame, of, schema: str) -> DataFrame:
+    """mapInArrow of `of` over docs (rid, key, t), each with its array `spans` of (lo, hi) or null."""
+    lists = spans.groupBy(F.col("rid").alias("rid_")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return docs.join(lists, docs["rid"] == lists["rid_"], "left").select("rid", "key", "t", "spans").mapInArrow(of, schema)
+
+
+def merged(spans: list | None) -> list[tuple[int, int]]:
+    """Half-open spans in order, with overlapping and touching ones made one."""
+    out: list[list[int]] = []
+    for s in sorted((s["lo"], s["hi"]) for s in spans or []):
+        if out and s[0] <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], s[1])
+        else:
+            out.append(list(s))
+    return [(a, b) for a, b in out]

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from .debruijn import op10_debruijn
 from .simhash import op8_simhash
+from .suffix_array import op6_suffix_array
 
 
 def queries() -> dict:
-    return {"op8_simhash": op8_simhash}
+    return {
+        "op6_suffix_array": op6_suffix_array,
+        "op8_simhash": op8_simhash,
+        "op10_debruijn": op10_debruijn,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
