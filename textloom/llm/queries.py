@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .debruijn import op10_debruijn
+from .decontaminate import OP3_SQL, op3_decontaminate
+from .quality_rules import op5_quality_rules
 from .simhash import op8_simhash
 from .suffix_array import op6_suffix_array
 
 
 def queries() -> dict:
     return {
+        "op3_decontaminate": op3_decontaminate,
+        "op5_quality_rules": op5_quality_rules,
         "op6_suffix_array": op6_suffix_array,
         "op8_simhash": op8_simhash,
         "op10_debruijn": op10_debruijn,
@@ -16,4 +20,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_decontaminate": OP3_SQL}
