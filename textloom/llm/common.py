@@ -135,3 +135,13 @@ def merged(spans: list | None) -> list[tuple[int, int]]:
         else:
             out.append(list(s))
     return [(a, b) for a, b in out]
+
+
+def numbered(scratch: Scratch, docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "rid_") -> DataFrame:
+    """docs with a unique long: the key where keys are unique, else the row's place in the order of
+    (key, text), for which the rows are written once."""
+    twice = docs.groupBy(key).count().filter(f"count > 1 or {key} is null").limit(1).count()
+    if not twice and docs.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+        return docs.withColumn(out, F.col(key).cast("long"))
+    return scratch.save(docs.repartitionByRange(key, F.xxhash64(text)).sortWithinPartitions(key, text).withColumn(
+        out, F.monotonically_increasing_id()))

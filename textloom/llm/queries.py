@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from .debruijn import op10_debruijn
 from .decontaminate import OP3_SQL, op3_decontaminate
+from .mixing import op2_mixing
 from .quality_rules import op5_quality_rules
+from .sharding import OP9_SQL, op9_sharding
 from .simhash import op8_simhash
 from .suffix_array import op6_suffix_array
 
 
 def queries() -> dict:
     return {
+        "op2_mixing": op2_mixing,
         "op3_decontaminate": op3_decontaminate,
         "op5_quality_rules": op5_quality_rules,
         "op6_suffix_array": op6_suffix_array,
         "op8_simhash": op8_simhash,
+        "op9_sharding": op9_sharding,
         "op10_debruijn": op10_debruijn,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL}
+    return {"op3_decontaminate": OP3_SQL, "op9_sharding": OP9_SQL}
