@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..profiles import ERAS, FIRST_PUBLISHED, LICENCE, NO_LICENCE, SPARK, Profile
@@ -53,44 +53,45 @@ def without_heading_marks(c: Column) -> Column:
     return F.ltrim(c, F.lit("# 　"))
 
 
-def sections(text: Column) -> Column:
-    """struct(header, body, colophon): arrays of lines.
-
-    The header ends at the first blank line; a legend between two lines of 20 hyphens or more,
-    first after it, is left out (to the end of the text where it isn't closed); the colophon
-    begins with the line of the base book.
-    """
-    lines = F.split(newlines(text), "\n")
-    bare = F.transform(lines, strip)
-    n = F.size(lines)
-    first = lambda a, test, start: F.coalesce(F.array_min(F.filter(F.transform(
-        a, lambda x, i: F.when((i >= start) & test(x), i)), lambda i: i.isNotNull())), n)
-    blank = first(bare, lambda x: x == "", F.lit(0))
-    after = first(bare, lambda x: x != "", blank)
-    hyphens = lambda x: x.rlike("^-{20,}$")
-    opened = F.coalesce(hyphens(F.get(bare, after)), F.lit(False))
-    start = F.when(opened, first(bare, hyphens, after + 1) + 1).otherwise(blank)
-    end = first(bare, lambda x: x.rlike("^底本[：:]"), start)
-    cut = lambda lo, hi: F.slice(lines, (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
-    return F.struct(cut(F.lit(0), blank).alias("header"), cut(start, end).alias("body"), cut(end, n).alias("colophon"))
-
-
-def header_fields(header: Column) -> Column:
-    """struct(title, subtitle, author): first line, the lines between, last line."""
-    clean = F.filter(F.transform(header, lambda x: strip(strip_ruby(x))), lambda x: x != "")
+def header_fields(clean: Column) -> Column:
+    """struct(title, subtitle, author) of a header's stripped lines: the first, those between, the last."""
     n = F.size(clean)
     return F.struct(F.coalesce(F.get(clean, F.lit(0)), F.lit("")).alias("title"),
                     F.when(n > 2, F.array_join(F.slice(clean, F.lit(2), F.greatest(n - 2, F.lit(0))), " ")).otherwise("").alias("subtitle"),
                     F.when(n > 1, F.get(clean, n - 1)).otherwise("").alias("author"))
 
 
-def plain_text(text: Column, keep_ruby: bool = False) -> Column:
-    """struct(body, title, subtitle, author, colophon)."""
-    s = sections(text)
-    head = header_fields(s["header"])
-    body = strip_notes(strip_ruby(F.array_join(s["body"], "\n"), keep_ruby))
-    return F.struct(F.concat(trim_newlines(body), F.lit("\n")).alias("body"), head["title"].alias("title"), head["subtitle"].alias("subtitle"),
-                    head["author"].alias("author"), strip(strip_ruby(F.array_join(s["colophon"], "\n"))).alias("colophon"))
+def with_sections(df: DataFrame, text: str) -> DataFrame:
+    """df with header, body and colophon: arrays of lines of an annotated text.
+
+    The header ends at the first blank line; a legend between two lines of 20 hyphens or more,
+    first after it, is left out (to the end of the text where it isn't closed); the colophon
+    begins with the line of the base book. Steps are columns of their own, so that none is
+    evaluated anew for each line.
+    """
+    n = F.size("_l")
+    first = lambda test, start: F.coalesce(F.array_min(F.filter(F.transform(
+        "_s", lambda x, i: F.when((i >= start) & test(x), i)), lambda i: i.isNotNull())), n)
+    hyphens = lambda x: x.rlike("^-{20,}$")
+    cut = lambda lo, hi: F.slice("_l", (lo + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int"))
+    out = df.withColumn("_l", F.split(newlines(F.col(text)), "\n")).withColumn("_s", F.transform("_l", strip))
+    out = out.withColumn("_blank", first(lambda x: x == "", F.lit(0)))
+    out = out.withColumn("_after", first(lambda x: x != "", F.col("_blank")))
+    out = out.withColumn("_open", F.coalesce(hyphens(F.get("_s", F.col("_after"))), F.lit(False)))
+    out = out.withColumn("_start", F.when(F.col("_open"), first(hyphens, F.col("_after") + 1) + 1).otherwise(F.col("_blank")))
+    out = out.withColumn("_end", first(lambda x: x.rlike("^底本[：:]"), F.col("_start")))
+    out = out.withColumn("header", cut(F.lit(0), F.col("_blank"))).withColumn("body", cut(F.col("_start"), F.col("_end"))).withColumn("colophon", cut(F.col("_end"), n))
+    return out.drop("_l", "_s", "_blank", "_after", "_open", "_start", "_end")
+
+
+def with_plain_text(df: DataFrame, text: str, keep_ruby: bool = False) -> DataFrame:
+    """df with body, title, subtitle, author and colophon as texts."""
+    out = with_sections(df, text)
+    clean = F.filter(F.transform("header", lambda x: strip(strip_ruby(x))), lambda x: x != "")
+    out = out.withColumn("_h", clean).withColumn("_h", header_fields(F.col("_h")))
+    body = strip_notes(strip_ruby(F.array_join("body", "\n"), keep_ruby))
+    return out.withColumn("body", F.concat(trim_newlines(body), F.lit("\n"))).withColumn("colophon", strip(strip_ruby(F.array_join("colophon", "\n")))).select(
+        "*", "_h.*").drop("_h", "header")
 
 
 def publication_year(colophon: Column) -> Column:

@@ -42,10 +42,16 @@ def units(docs: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id", tex
     """(key, unit, level, label, part, text): the body between headings, without notes and readings,
     of LEAST characters or more. The way of marking headings is the first with three of them.
     whole: the text has a header and a colophon, which are left out."""
-    lines = X.sections(F.col(text))["body"] if whole else F.split(X.newlines(F.col(text)), "\n")
     modes = ("annotation", "indent", "bare")
-    own = docs.select(key, lines.alias("ls"))
-    own = own.withColumn("mode", F.coalesce(*[F.when(F.size(F.filter("ls", lambda x, m=m: heading_of(x, m, profile).isNotNull())) >= 3, m) for m in modes]))
+    if whole:
+        own = X.with_sections(docs.select(key, F.col(text).alias("_t")), "_t").select(key, F.col("body").alias("ls"))
+    else:
+        own = docs.select(key, F.split(X.newlines(F.col(text)), "\n").alias("ls"))
+
+    def marked(mode: str) -> Column:
+        return F.size(F.filter("ls", lambda x: heading_of(x, mode, profile).isNotNull())) >= 3
+
+    own = own.withColumn("mode", F.coalesce(*[F.when(marked(m), m) for m in modes]))
     rows = own.select(key, "mode", F.posexplode("ls").alias("at", "line"))
     found = reduce(lambda a, m: a.when(F.col("mode") == m, heading_of(F.col("line"), m, profile)), modes[1:], F.when(F.col("mode") == modes[0], heading_of(F.col("line"), modes[0], profile)))
     order = Window.partitionBy(key).orderBy("at")

@@ -130,12 +130,13 @@ def claims(judged: DataFrame, key: list[str], body: str = "body") -> DataFrame:
     plain = [("coincidences", "3-6", "都合のよい展開", "why"), ("telegraphed", "3-7", "真相が先に確定する", "why"), ("borrowed", "3-8", "流用", "source"),
              ("ending_exposition", "3-10", "結の説明的な地の文", "why"), ("misleading_imagery", "3-11", "筋と誤読される描写", "why"),
              ("continuity_breaks", "3-12", "場面の連続が切れる", "why")]
+    claim = lambda item, label, why: lambda x: one(item, label, x["quote"], None, x[why])
     listed = F.concat(
         single(F.coalesce(~c["inciting_is_lack"]["verdict"], F.lit(False)), one("3-1", "発端が欠落・願望・出来事でない", c["inciting_is_lack"]["quote"])),
         single(F.coalesce(c["ending_explains"]["verdict"], F.lit(False)), one("3-3", "結が説明で閉じている", c["ending_explains"]["quote"])),
         many("similes", lambda x: one("3-4", "喩え先が抽象", F.when(F.coalesce(~x["concrete"], F.lit(False)), x["quote"]), None, x["vehicle"])),
         many("contradictions", lambda x: one("3-5", "矛盾", x["quote_a"], x["quote_b"], x["why"])),
-        *[many(column, lambda x, i=item, n=label, w=why: one(i, n, x["quote"], None, x[w])) for column, item, label, why in plain])
+        *[many(p[0], claim(*p[1:])) for p in plain])
     rows = judged.select(*key, F.col(body).alias("_b"), F.explode(listed).alias("c")).select(*key, "_b", "c.*")
     rows = rows.filter("item <> '3-4' or quote is not null")
     at = X.locate(F.col("_b"), F.col("quote"))
@@ -159,9 +160,10 @@ def consensus(findings: DataFrame, story: str, judge: str, item: str = "item", p
 
 
 def blinded(pairs: DataFrame, seed: int | Column, first: str = "a", second: str = "b") -> DataFrame:
-    """pairs with A and B: the two in an order that a hash of the seed and the pair decides."""
+    """pairs with A and B in place of the two, in an order that a hash of the seed and the pair decides."""
     keep = F.pmod(F.xxhash64(F.lit(seed) if isinstance(seed, int) else seed, F.col(first), F.col(second)), F.lit(2)) == 0
-    return pairs.withColumn("A", F.when(keep, F.col(first)).otherwise(F.col(second))).withColumn("B", F.when(keep, F.col(second)).otherwise(F.col(first)))
+    others = [c for c in pairs.columns if c not in (first, second)]
+    return pairs.select(*others, F.when(keep, F.col(first)).otherwise(F.col(second)).alias("A"), F.when(keep, F.col(second)).otherwise(F.col(first)).alias("B"))
 
 
 def pair_check(answers_: DataFrame, bodies: DataFrame, key: str = "pair", name: str = "story", body: str = "body") -> DataFrame:

@@ -193,7 +193,7 @@ def document_chapters(spark, d):
 
 
 def event_gap_clusters(spark, d):
-    events = spark.read.parquet(f"{d}/events.parquet").select("user_id", "event_id", F.unix_micros("ts").alias("at"))
+    events = spark.read.parquet(f"{d}/events.parquet").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
     first = events.groupBy("user_id", "at").agg(F.min("event_id").alias("event_id"))
     return Q.gap_clusters(first, ["user_id"], "at", 3_600_000_000 * 6)
 

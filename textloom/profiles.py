@@ -149,7 +149,7 @@ LATIN = Profile(
     full_stop=".",
     classes={"kanji": "a-z", "hiragana": "A-Z", "katakana": "0-9"},
     headings=("^[A-Z]+$", "^[0-9]+$", "^[0-9]+[.) ]", "^[A-Z][a-z]+$"),
-    markers={"the": "\\bthe\\b", "as": "\\bas\\b", "de": "\\bde\\b", "und": "\\bund\\b", "que": "\\bque\\b"},
+    markers={w: f"(?:^|[^\\p{{L}}]){w}(?:[^\\p{{L}}]|$)" for w in ("the", "as", "de", "und", "que")},
     words="[A-Z][a-z]{2,7}",
     old_letters="äöüß",
     old_kana="ñç",

@@ -62,7 +62,7 @@ def raw_texts(spark: SparkSession, path: str, head: int | None = None) -> DataFr
 
 def works(raw: DataFrame, text: str = "raw", keep_ruby: bool = False) -> DataFrame:
     """raw with body, title, subtitle, author and colophon."""
-    return raw.withColumn("_p", X.plain_text(F.col(text), keep_ruby)).select("*", "_p.*").drop("_p")
+    return X.with_plain_text(raw, text, keep_ruby)
 
 
 def catalog(spark: SparkSession, path: str) -> DataFrame:
