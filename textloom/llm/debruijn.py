@@ -130,3 +130,14 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ke
 def op10_debruijn(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return without_repeats(docs, keep_text=False)
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 34), ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+r AS (SELECT g FROM x GROUP BY g HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM x JOIN r USING (g)),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+l AS (SELECT k.doc_id, count(*) AS n, count(c.p) AS gone, coalesce(string_agg(word, ' ' ORDER BY k.p) FILTER (WHERE c.p IS NULL), '') AS kept FROM k LEFT JOIN c ON k.doc_id = c.doc_id AND k.p = c.p GROUP BY k.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+"""

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from .chat import OP7_SQL, op7_chat
-from .debruijn import op10_debruijn
+from .debruijn import OP10_SQL, op10_debruijn
 from .decontaminate import OP3_SQL, op3_decontaminate
-from .line_dedup import op1_line_dedup
+from .line_dedup import OP1_SQL, op1_line_dedup
 from .mixing import op2_mixing
 from .quality_rules import op5_quality_rules
 from .sharding import OP9_SQL, op9_sharding
 from .simhash import op8_simhash
-from .suffix_array import op6_suffix_array
+from .suffix_array import OP6_SQL, op6_suffix_array
 from .token_counts import op4_token_counts
 
 
@@ -30,4 +30,11 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": OP3_SQL, "op7_chat": OP7_SQL, "op9_sharding": OP9_SQL}
+    return {
+        "op1_line_dedup": OP1_SQL,
+        "op3_decontaminate": OP3_SQL,
+        "op6_suffix_array": OP6_SQL,
+        "op7_chat": OP7_SQL,
+        "op9_sharding": OP9_SQL,
+        "op10_debruijn": OP10_SQL,
+    }

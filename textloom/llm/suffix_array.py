@@ -223,3 +223,19 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ke
 def op6_suffix_array(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return without_repeats(docs, keep_text=False)
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+g AS (SELECT doc_id, i, substr(x, 2 * i - 1, 200) AS g FROM (SELECT doc_id, x, unnest(generate_series(1, n - 99)) AS i FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM g),
+s AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM r WHERE k > 1),
+t AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s),
+u AS (SELECT doc_id, min(i) AS lo, max(i) + 99 AS hi FROM t GROUP BY doc_id, run),
+v AS (SELECT doc_id, sum(hi - lo + 1) AS gone, count(*) AS runs FROM u GROUP BY doc_id),
+e AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM u UNION ALL
+      SELECT d.doc_id, coalesce(max(hi), 0), any_value(n) + 1 FROM d LEFT JOIN u ON d.doc_id = u.doc_id GROUP BY d.doc_id),
+k AS (SELECT e.doc_id, string_agg(substr(x, 2 * a + 1, 2 * (b - a - 1)), '' ORDER BY a, b) AS kept FROM e JOIN d ON e.doc_id = d.doc_id GROUP BY e.doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN k ON d.doc_id = k.doc_id LEFT JOIN v ON d.doc_id = v.doc_id
+"""
