@@ -41,7 +41,8 @@ def repeated_runs(scratch: Scratch, docs: DataFrame, window: int, gram: int, wor
     """The runs whose anchor occurs more than once. Counts are combined before the shuffle, and
     the join back can be split where an anchor is hot, so no anchor meets in one task."""
     every = scratch.save(find_runs(docs, window, gram, words))
-    often = every.groupBy("h").count().filter("count > 1").select(F.col("h").alias("h_"))
+    # a table of its own: where an aggregation stands between shuffle and join, Spark splits no hot partition
+    often = scratch.save(every.groupBy("h").count().filter("count > 1").select(F.col("h").alias("h_")))
     out = scratch.save(every.join(often, every["h"] == often["h_"]).drop("h_"), free=True)
     scratch.drop(every)
     return out
