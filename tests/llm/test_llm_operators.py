@@ -109,6 +109,30 @@ def test_mixing_keeps_all_and_stays_within_a_block(spark):
         assert [b for _, (x, b) in sorted(slots.items()) if x == s] == list(range(left[s]))
 
 
+@pytest.mark.parametrize("weights, most", [
+    ({"a": 0.5, "b": 0.2, "c": 0.2, "d": 0.05, None: 0.05}, 3000),
+    ({"hot": 19.0, **{f"s{i:02}": 1.0 for i in range(19)}}, 1200),
+    ({"a": 2**0.5, "b": 3**0.5, "c": 0.001}, 2500)])
+def test_mixing_stays_within_a_block_at_any_length(spark, weights, most):
+    whole = sum(weights.values())
+    docs = [s for s, w in weights.items() for _ in range(int(most * w / whole) + 3)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, source string")
+    table = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    got = sorted(mixing.mixed(df, table, block_rows=1, carry=["doc_id"]).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in got] == list(range(len(docs)))
+    left, done, phase, n, live = collections.Counter(docs), collections.Counter(), 0, 0, dict(weights)
+    for r in got:
+        if r.phase > phase:  # when a source runs out, and only then, the others go on by their weights
+            live = {s: w for s, w in weights.items() if left[s]}
+            done, phase, n = collections.Counter(), r.phase, 0
+        assert len(live) == sum(left[s] > 0 for s in weights)
+        done[r.mix_source] += 1
+        left[r.mix_source] -= 1
+        n += 1
+        assert all(abs(done[s] - w / sum(live.values()) * n) < 1 + 1e-5 for s, w in live.items())
+    assert not any(left.values())
+
+
 def test_mixing_defaults_and_empty(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (None, None)], "doc_id long, source string")
     got = mixing.mixed(df, carry=["doc_id"]).collect()

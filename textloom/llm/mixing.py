@@ -1,13 +1,16 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
 
-Every source is cut into blocks. Time is cut into slots, one block each, and PERIOD slots make a
-period in which source s has q_s slots, its weight in whole slots. Block i of a period is
-released at slot floor((i-1) PERIOD / q_s) and due by slot ceil(i PERIOD / q_s); in every slot
-the released block of earliest deadline goes first. With all weights together at one, every
-block meets its deadline, so before every slot each source is less than one block from its
-share (Baruah and others, 1996). A period is scheduled once, by a fold over its slots, and
-repeats until a source runs out; then the weights of the sources left are cut anew, in a new
-phase. All rows are kept: phases go on until the last block.
+Every source is cut into blocks. Time is cut into slots, one block each; a source of weight w (all
+weights together are one) is to have w of the slots. Its block i is released at slot
+floor((i-1) / w) and due by slot ceil(i / w); in every slot the released block of earliest deadline
+goes first. With all weights together at one, every block meets its deadline, so before every slot
+each source is less than one block from its share, however many slots there are (Baruah and
+others, 1996). When a source runs out, a new phase begins, in which the sources left share all
+slots by their weights. All rows are kept: phases go on until the last block.
+
+Weights are integers out of their sum, so that releases and deadlines are exact. Integers are taken
+as they are, other weights to one in UNITS, which moves a share of n sources by less than
+n slots / UNITS blocks. The schedule is one fold over all slots, of which there is one a block.
 """
 
 from __future__ import annotations
@@ -17,72 +20,70 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ranked
 
-#: Slots in a period, at least; a source gets one slot at least.
-PERIOD = 1000
+#: Slots that the fold adds to its list at once.
+CHUNK = 1000
+#: The sum of the integer weights, about; 10^6, 7 and 9 divide it, so that such weights stay exact.
+UNITS = 2016 * 10**6
 #: Rows in a block.
 BLOCK_ROWS = 64
 #: Exponent of a source's share of rows in its weight, where no weights are given.
 TEMPERATURE = 0.5
 
 
-def _quotas(weights: Column, period: Column) -> Column:
-    """Whole slots of each weight: one at least, the rest by largest remainder (first among equals)."""
-    n = F.size(weights)
-    total = F.aggregate(weights, F.lit(0.0), lambda a, w: a + w)
-    free = period - n
-    exact = F.transform(weights, lambda w: w / total * free)
-    floors = F.transform(exact, lambda x: F.floor(x).cast("int"))
-    left = free - F.aggregate(floors, F.lit(0), lambda a, x: a + x)
-    by_rest = F.transform(F.array_sort(F.transform(exact, lambda x, i: F.struct((F.floor(x) - x).alias("r"), i.alias("i")))), lambda s: s["i"])
-    given = F.slice(by_rest, F.lit(1), left)
-    return F.transform(floors, lambda x, i: x + 1 + F.when(F.array_contains(given, i), 1).otherwise(0))
+def _let(value: Column, of) -> Column:
+    """of(value), with value evaluated once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
-def phases(totals: DataFrame) -> DataFrame:
-    """(phase, source, quota, first_block, blocks, start): what each source does in each phase.
+def schedule(totals: DataFrame) -> DataFrame:
+    """(source, block, phase, slot): the slot of every block, all from 0.
 
-    totals: (source, weight, blocks), of a size bounded by the number of sources; one fold over
-    the phases, of which there are as many as sources at most. start: the phase's first slot.
+    totals: (source, weight, blocks), of a size bounded by the number of sources.
     """
-    rows = totals.agg(F.array_sort(F.collect_list(F.struct(F.col("source"), "weight", "blocks"))).alias("all"))
-    period = F.greatest(F.lit(PERIOD), 10 * F.size("all"))
-    rows = rows.withColumn("period", period)
-    names = F.transform("all", lambda x: x["source"])
-    state = F.struct(F.transform("all", lambda x: x["blocks"]).alias("left"), F.lit(0).cast("long").alias("start"),
-                     F.array().cast("array<struct<live:array<int>,quota:array<int>,left:array<bigint>,start:bigint,periods:bigint>>").alias("out"))
+    rows = totals.filter("blocks > 0").agg(F.array_sort(F.collect_list(F.struct("source", "weight", "blocks"))).alias("all")).filter("size(all) > 0")
+    whole = F.aggregate("all", F.lit(0.0), lambda a, x: a + x["weight"])
+    given = F.forall("all", lambda x: (x["weight"] == F.floor(x["weight"])) & (x["weight"] <= UNITS)) & (whole <= UNITS)
+    scale = F.when(given, F.lit(1.0)).otherwise(UNITS / whole)
+    rows = rows.withColumn("scale", scale).select(
+        F.transform("all", lambda x: x["source"]).alias("names"), F.transform("all", lambda x: x["blocks"]).alias("blocks"),
+        F.transform("all", lambda x: F.greatest(F.lit(1).cast("long"), F.round(x["weight"] * F.col("scale")).cast("long"))).alias("units"))
+    rows = rows.withColumn("slots", F.aggregate("blocks", F.lit(0).cast("long"), lambda a, x: a + x))
+    zeros = F.transform("blocks", lambda _: F.lit(0).cast("long"))
+    sums = lambda units: F.aggregate(units, F.lit(0).cast("long"), lambda a, x: a + x)
+    # left: blocks to come; units: of the sources that have any; done and t: blocks and slots of the phase
+    kind = "struct<left:array<bigint>,units:array<bigint>,total:bigint,done:array<bigint>,t:bigint,phase:int,out:array<struct<i:int,left:bigint,phase:int>>>"
+    first = F.struct(F.col("blocks").alias("left"), F.col("units").alias("units"), sums(F.col("units")).alias("total"), zeros.alias("done"),
+                     F.lit(0).cast("long").alias("t"), F.lit(0).alias("phase"), F.array().alias("out")).cast(kind)
 
     def step(a: Column, _: Column) -> Column:
-        live = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.get(a["left"], i) > 0)
-        quota = _quotas(F.transform(live, lambda i: F.get(F.col("all"), i)["weight"]), F.col("period"))
-        periods = F.array_min(F.transform(live, lambda i, k: F.ceil(F.get(a["left"], i) / F.get(quota, k)).cast("long")))
-        after = F.transform(a["left"], lambda x, i: F.greatest(F.lit(0).cast("long"), x - periods * F.coalesce(
-            F.get(quota, F.array_position(live, i).cast("int") - 1), F.lit(0))))
-        part = F.struct(live.alias("live"), quota.alias("quota"), a["left"].alias("left"), a["start"].alias("start"), periods.alias("periods"))
-        done = F.size(live) == 0
-        return F.when(done, a).otherwise(F.struct(after.alias("left"), (a["start"] + periods * F.col("period")).alias("start"),
-                                                  F.concat(a["out"], F.array(part)).alias("out")))
-
-    folded = rows.filter("size(all) > 0").select("period", names.alias("names"), F.col("all"), F.aggregate(
-        F.sequence(F.lit(1), F.size("all")), state, step, lambda a: a["out"]).alias("out"))
-    return folded.select("period", "names", F.posexplode("out").alias("phase", "p")).select("period", "names", "phase", "p.*")
-
-
-def schedule(parts: DataFrame) -> DataFrame:
-    """(phase, source, k, slot): the slot in a period of a source's k-th block of that period, all from 0."""
-    q = lambda i: F.get(F.col("quota"), i)
-
-    def step(a: Column, t: Column) -> Column:
         # of sources whose next block (done + 1) is released by t: the one of earliest deadline
-        ready = F.transform(a["done"], lambda d, i: F.when(
-            (d < q(i)) & (F.floor(d * F.col("period") / q(i)) <= t), F.struct(F.ceil((d + 1) * F.col("period") / q(i)).alias("due"), i.alias("i"))))
-        pick = F.array_min(F.filter(ready, lambda r: r.isNotNull()))["i"]
-        return F.struct(F.transform(a["done"], lambda d, i: F.when(i == pick, d + 1).otherwise(d)).alias("done"), F.concat(
-            a["out"], F.array(F.struct(pick.alias("i"), F.get(a["done"], pick).alias("k"), t.alias("slot")))).alias("out"))
-
-    start = F.struct(F.transform("quota", lambda _: F.lit(0)).alias("done"), F.array().cast("array<struct<i:int,k:int,slot:int>>").alias("out"))
-    folded = parts.withColumn("slots", F.aggregate(F.sequence(F.lit(0), F.col("period") - 1), start, step, lambda a: a["out"]))
-    return folded.select("phase", "names", "live", F.explode("slots").alias("s")).select(
-        "phase", F.get("names", F.get("live", F.col("s.i"))).alias("source"), F.col("s.k").alias("k"), F.col("s.slot").alias("slot"))
+        total = a["total"]
+        ready = F.transform(F.arrays_zip(a["done"].alias("d"), a["units"].alias("u")), lambda x, i: F.when(
+            (x["u"] > 0) & (x["d"] * total < (a["t"] + 1) * x["u"]),
+            F.struct(F.call_function("div", (x["d"] + 1) * total + x["u"] - 1, x["u"]).alias("due"), i.alias("i"))))
+        return _let(F.array_min(ready)["i"], lambda i: chosen(a, i))
+
+    def chosen(a: Column, i: Column) -> Column:
+        left = F.transform(a["left"], lambda x, k: F.when(k == i, x - 1).otherwise(x))
+        part = F.concat(a["out"], F.array(F.struct(i.alias("i"), F.get(a["left"], i).alias("left"), a["phase"].alias("phase"))))
+        rest = F.transform(a["units"], lambda x, k: F.when(k == i, F.lit(0).cast("long")).otherwise(x))
+        done = F.transform(a["done"], lambda x, k: F.when(k == i, x + 1).otherwise(x))
+        on = F.struct(left.alias("left"), a["units"].alias("units"), a["total"].alias("total"), done.alias("done"), (a["t"] + 1).alias("t"), a["phase"].alias("phase"), part.alias("out"))
+        new = F.struct(left.alias("left"), rest.alias("units"), sums(rest).alias("total"), F.transform(a["done"], lambda _: F.lit(0).cast("long")).alias("done"),
+                       F.lit(0).cast("long").alias("t"), (a["phase"] + 1).alias("phase"), part.alias("out"))
+        return F.when(F.get(a["left"], i) == 1, new.cast(kind)).otherwise(on.cast(kind))
+
+    def chunk(a: Column, k: Column) -> Column:
+        begin = a["now"].withField("out", F.array().cast("array<struct<i:int,left:bigint,phase:int>>")).cast(kind)
+        some = F.sequence(k * CHUNK, F.least((k + 1) * CHUNK, F.col("slots")) - 1)
+        return _let(F.aggregate(some, begin, step), lambda now: F.struct(now.alias("now"), F.concat(a["parts"], F.array(now["out"])).alias("parts")))
+
+    start = F.struct(first.alias("now"), F.array().cast("array<array<struct<i:int,left:bigint,phase:int>>>").alias("parts"))
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))
+    folded = rows.select("names", "blocks", F.aggregate(chunks, start, chunk, lambda a: a["parts"]).alias("parts"))
+    folded = folded.select("names", "blocks", F.posexplode("parts").alias("at", "part")).select("names", "blocks", "at", F.posexplode("part").alias("slot", "s"))
+    return folded.select(F.get("names", F.col("s.i")).alias("source"), (F.get("blocks", F.col("s.i")) - F.col("s.left")).alias("block"),
+                         F.col("s.phase").alias("phase"), (F.col("at").cast("long") * CHUNK + F.col("slot")).alias("slot"))
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, source: str = "source", key: str = "doc_id",
@@ -110,25 +111,9 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, source: str = "sour
         named = counts.join(given, counts["src"] == given["src_"], "left").select("src", "rows", "weight")
         named = named.select("src", "rows", F.coalesce("weight", F.min("weight").over(Window.partitionBy()), F.lit(1.0)).alias("weight"))
     totals = named.select(F.col("src").alias("source"), "weight", F.ceil(F.col("rows") / F.lit(block_rows)).cast("long").alias("blocks"))
-    parts = scratch.save(phases(totals))
-    slots = scratch.save(schedule(parts))
-    # what a source has left at the beginning of each of its phases
-    spans = parts.select("phase", "period", "start", "names", F.posexplode("live").alias("k", "i"), "quota", "left").select(
-        "phase", "period", "start", F.get("names", F.col("i")).alias("source"), F.get("quota", F.col("k")).alias("quota"), F.get("left", F.col("i")).alias("left"))
-    later = Window.partitionBy("source").orderBy("phase")
-    every = F.max("left").over(Window.partitionBy("source"))
-    spans = spans.select("*", (every - F.col("left")).alias("lo"), (every - F.coalesce(F.lead("left").over(later), F.lit(0))).alias("hi"))
-    # one row a source: its phases, of which the row's block picks one
-    lists = spans.groupBy(F.col("source").alias("src_")).agg(F.collect_list(F.struct("lo", "hi", "phase", "period", "start", "quota")).alias("spans"))
+    slots = scratch.save(schedule(totals)).withColumnsRenamed({"source": "src_", "block": "block_"})
     block = F.floor(F.col("rank") / F.lit(block_rows)).cast("long")
-    out = placed.withColumn("block", block).join(lists, F.col("src") == F.col("src_")).withColumn(
-        "span", F.get(F.filter("spans", lambda x: (x["lo"] <= F.col("block")) & (F.col("block") < x["hi"])), F.lit(0))).drop("spans", "src_")
-    since = F.col("block") - F.col("span.lo")
-    out = out.withColumn("phase", F.col("span.phase")).withColumn("k", (since % F.col("span.quota")).cast("int")).withColumn(
-        "base", F.col("span.start") + F.floor(since / F.col("span.quota")) * F.col("span.period")).drop("span")
-    slots = slots.withColumnsRenamed({"phase": "phase_", "source": "src_", "k": "k_", "slot": "slot_"})
-    out = out.join(slots, (F.col("phase") == F.col("phase_")) & (F.col("src") == F.col("src_")) & (F.col("k") == F.col("k_")))
-    out = out.withColumn("slot", (F.col("base") + F.col("slot_")).cast("long"))
+    out = placed.withColumn("block", block).join(slots, (F.col("src") == F.col("src_")) & (F.col("block") == F.col("block_")))
     return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], F.expr("nullif(substring(src, 2), case when src = '' then '' end)").alias("mix_source"),
                       "block", "phase", "slot", (F.col("rank") % block_rows).alias("place"))
 
