@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..llm.common import Scratch, numbered
 from ..profiles import BANDS, INFO_ITEMS, JAPANESE, Profile
 
 ANSWER = """
@@ -56,17 +57,19 @@ def occurrences(quotes: DataFrame, texts: DataFrame, quote_key: str, text_key: s
     if size <= most:
         hits = t.join(F.broadcast(q), F.contains("t", F.col("q"))).withColumn("at", F.instr("t", F.col("q")))
         return hits.select(F.col("_qk").alias(quote_key), F.col("_tk").alias(text_key), ((F.col("at") - 1) * 100 / F.length("t")).alias("position"))
+    # a number of its own for each text: keys may repeat or be null
+    t = numbered(Scratch(quotes.sparkSession, "occurrences"), t, key="_tk", text="t", out="_row")
     widths = sorted(r[0] for r in q.select("n").distinct().collect())  # from 4 to width
     found = None
     for n in widths:
         heads = q.filter(F.col("n") == n).withColumn("head", F.left("q", F.lit(n)))
         pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, F.lit(n))))
-        own = t.filter(F.length("t") >= n).select("_tk", F.explode(pieces).alias("head"))
-        pairs = own.join(heads, "head").select("_qk", "_tk", "q")
+        own = t.filter(F.length("t") >= n).select("_row", F.explode(pieces).alias("head"))
+        pairs = own.join(heads, "head").select("_qk", "_row", "q")
         found = pairs if found is None else found.union(pairs)
     if found is None:
         return quotes.sparkSession.createDataFrame([], f"{quote_key} {quotes.schema[quote_key].dataType.simpleString()}, {text_key} {texts.schema[text_key].dataType.simpleString()}, position double")
-    hits = found.join(t, "_tk").withColumn("at", F.instr("t", F.col("q"))).filter("at > 0")
+    hits = found.join(t, "_row").withColumn("at", F.instr("t", F.col("q"))).filter("at > 0")
     return hits.select(F.col("_qk").alias(quote_key), F.col("_tk").alias(text_key), ((F.col("at") - 1) * 100 / F.length("t")).alias("position"))
 
 
