@@ -230,7 +230,7 @@ def learn_lexicon(labelled: DataFrame, most: int = LEXICON) -> list[bytes]:
     """Word beginnings that toxic texts have and others lack, each for what those before it leave uncovered.
 
     labelled: (doc_id, text, toxic), a bounded sample. Stems in a hundredth of the toxic texts and in
-    twenty times as many of them, by share, as of the others are candidates; at most 5,000 are compared.
+    twenty times as many of them, by share, as of the others are candidates.
     """
     def of(batches):
         for batch in batches:
@@ -246,11 +246,11 @@ def learn_lexicon(labelled: DataFrame, most: int = LEXICON) -> list[bytes]:
     if n < 10 or not m:
         return []
     spread = lambda df: df.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, "doc_id long, stem string")
-    often = spread(toxic).groupBy("stem").count().filter(F.col("count") >= max(4, n / 100)).orderBy(F.desc("count"), "stem").limit(5000)
-    often = {r[0]: r[1] for r in often.collect()}
-    names = labelled.sparkSession.createDataFrame([(s,) for s in often], "stem string")
-    others = {r[0]: r[1] for r in spread(clean).join(F.broadcast(names), "stem").groupBy("stem").count().collect()}
-    good = [s for s, c in often.items() if c / n >= 20 * others.get(s, 0) / m]
+    both = spread(toxic).select("stem", F.lit(1).alias("bad")).union(spread(clean).select("stem", F.lit(0).alias("bad")))
+    often = both.groupBy("stem").agg(F.sum("bad").alias("c"), F.sum(1 - F.col("bad")).alias("o")).filter(
+        (F.col("c") >= max(4, n / 100)) & (F.col("c") / n >= 20 * F.col("o") / m)).collect()
+    others = {r["stem"]: r["o"] for r in often}
+    good = sorted(others)
     having: dict[str, set] = {s: set() for s in good}
     names = labelled.sparkSession.createDataFrame([(s,) for s in good], "stem string")
     for doc, stem in spread(toxic).join(F.broadcast(names), "stem").select("doc_id", "stem").collect():
