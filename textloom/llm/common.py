@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -11,19 +12,33 @@ from pyspark.sql import functions as F
 
 #: Hash buckets that a two-level rank sorts apart from one another.
 RANK_BUCKETS = 1024
+#: Setting by which Spark drops an execution's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), one of this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    """The folder in spark.checkpoint.dir, which driver and executors share. Where it is unset, a new one in
+    local mode (tests), and an error on a cluster."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="textloom-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Executions inside drop their shuffle files when they end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 class Scratch:
     """Tables that cut lineage: written to the shared folder as Parquet and read again."""
 
@@ -32,27 +47,24 @@ class Scratch:
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def save(self, df: DataFrame, free: bool = False) -> DataFrame:
-        """Write and reread. free: let Spark drop the shuffle files of finished steps."""
+    def save(self, df: DataFrame, *done: DataFrame) -> DataFrame:
+        """Write and reread; then delete the saved tables `done`, which no later step reads."""
         self.n += 1
         path = f"{self.root}/{self.n:03d}"
         schema = df.schema
-        df.write.option("compression", "zstd").parquet(path)
-        if free:
-            self.free()
-        return self.spark.read.schema(schema).parquet(path)
-
-    def free(self) -> None:
-        """Shuffle files go once no object of the driver refers to them."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        with shuffles_dropped(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(schema).parquet(path)
+        out._scratch = path
+        for old in done:
+            self.drop(old)
+        return out
 
     def drop(self, df: DataFrame) -> None:
         """Delete a saved table that no later step reads."""
         jvm = self.spark.sparkContext._jvm
-        for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], salt: Column, out: str,
@@ -76,34 +88,45 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], salt: Column, o
                                                  (local["_r"] + starts["_s"]).alias(out))
 
 
-def components(scratch: Scratch, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, root): root is the smallest node that edges(u, v) reach; nodes without edges are absent.
 
-    Alternating large-star and small-star steps (Kiveris and others, 2014); each round is a
-    table in the shared folder. All groups are reduced with min, none is collected.
+    Alternating large-star and small-star steps (Kiveris and others, 2014) until nothing changes;
+    each round is a table in the shared folder. All groups are reduced with min, none is collected;
+    the minima are a table of their own, so that Spark can split the join at a root of many nodes.
     """
     def normal(df: DataFrame) -> DataFrame:
         return df.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
     now = scratch.save(normal(edges))
     mark = None
-    for _ in range(rounds):
+    while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = normal(large)
+        low = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = normal(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))
-        after = scratch.save(normal(small))
-        seen = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        scratch.drop(now)
-        now = after
+        now = scratch.save(normal(small), now, low)
+        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
-            return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").union(
-                now.select("v", "v").distinct())
+            return scratch.save(now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").union(
+                now.select("v", "v").distinct()), now)
         mark = seen
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def _ordered(scratch: Scratch, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """docs in the order of (key, text), nulls first. Equal rows are salted for the range bounds only:
+    they may lie in several partitions, one after another, as any of them may come first."""
+    salt = F.rand(7)
+    return docs.withColumn("_salt", salt).repartitionByRange(key, text, "_salt").sortWithinPartitions(key, text).drop("_salt")
+
+
+def _is_unique(docs: DataFrame, key: str) -> bool:
+    """Whether the key is a whole number that no two rows share and none lacks."""
+    if docs.schema[key].dataType.typeName() not in ("long", "integer", "short", "byte"):
+        return False
+    return not docs.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).limit(1).count()
 
 
 def keyed(scratch: Scratch, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -113,11 +136,9 @@ def keyed(scratch: Scratch, docs: DataFrame, key: str, text: str) -> DataFrame:
     are written once in that order and numbered; equal rows are then rows of their own.
     """
     own = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("t"))
-    twice = own.groupBy("key").count().filter("count > 1 or key is null").limit(1).count()
-    if not twice and docs.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+    if _is_unique(own, "key"):
         return own.select(F.col("key").cast("long").alias("rid"), "key", "t")
-    return scratch.save(own.repartitionByRange("key", F.xxhash64("t")).sortWithinPartitions("key", "t").select(
-        F.monotonically_increasing_id().alias("rid"), "key", "t"))
+    return scratch.save(_ordered(scratch, own, "key", "t").select(F.monotonically_increasing_id().alias("rid"), "key", "t"))
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame, of, schema: str) -> DataFrame:
@@ -140,8 +161,6 @@ def merged(spans: list | None) -> list[tuple[int, int]]:
 def numbered(scratch: Scratch, docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "rid_") -> DataFrame:
     """docs with a unique long: the key where keys are unique, else the row's place in the order of
     (key, text), for which the rows are written once."""
-    twice = docs.groupBy(key).count().filter(f"count > 1 or {key} is null").limit(1).count()
-    if not twice and docs.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+    if _is_unique(docs, key):
         return docs.withColumn(out, F.col(key).cast("long"))
-    return scratch.save(docs.repartitionByRange(key, F.xxhash64(text)).sortWithinPartitions(key, text).withColumn(
-        out, F.monotonically_increasing_id()))
+    return scratch.save(_ordered(scratch, docs, key, text).withColumn(out, F.monotonically_increasing_id()))

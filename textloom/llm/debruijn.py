@@ -65,7 +65,7 @@ def repeated_pieces(scratch: Scratch, docs: DataFrame) -> DataFrame:
     often = opened.groupBy(F.col("h").alias("h_"), F.col("edge").alias("edge_")).count().filter("count > 1").drop("count")
     single = opened.join(often, (F.col("h") == F.col("h_")) & (F.col("edge") == F.col("edge_"))).join(alone, ["rid", "at"], "left_semi")
     single = single.select(F.xxhash64("h", "edge").alias("label"), "rid", F.col("at").alias("start"), F.lit(1).cast("long").alias("n"))
-    return scratch.save(whole.union(single), free=True)
+    return scratch.save(whole.union(single))
 
 
 def compacted(scratch: Scratch, found: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def repeated_spans(scratch: Scratch, docs: DataFrame) -> DataFrame:
     cut = laid.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_span", F.sum("_new").over(along))
     return scratch.save(cut.groupBy("rid", "_span").agg(
         F.min("start").alias("lo"), (F.max(F.col("start") + F.col("n")) - 1 + WINDOW).alias("hi"),
-        F.first("path").alias("path")).drop("_span"), free=True)
+        F.first("path").alias("path")).drop("_span"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:

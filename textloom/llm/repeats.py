@@ -43,7 +43,7 @@ def repeated_runs(scratch: Scratch, docs: DataFrame, window: int, gram: int, wor
     every = scratch.save(find_runs(docs, window, gram, words))
     # a table of its own: where an aggregation stands between shuffle and join, Spark splits no hot partition
     often = scratch.save(every.groupBy("h").count().filter("count > 1").select(F.col("h").alias("h_")))
-    out = scratch.save(every.join(often, every["h"] == often["h_"]).drop("h_"), free=True)
+    out = scratch.save(every.join(often, every["h"] == often["h_"]).drop("h_"))
     scratch.drop(every)
     return out
 

@@ -185,7 +185,7 @@ def earlier_repeats(scratch: Scratch, docs: DataFrame) -> DataFrame:
     segments = with_text(docs, firsts, _segments, "h long, rid long, place long, bytes binary")
     parted = scratch.save(segments.repartition("h").sortWithinPartitions("h", "rid", "place").mapInArrow(
         _judge, "rid long, start long, n long"))
-    return scratch.save(whole.union(parted), free=True)
+    return scratch.save(whole.union(parted))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
