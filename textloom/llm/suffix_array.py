@@ -2,31 +2,40 @@
 
 A byte is removed if a 100-byte string that also starts earlier covers it. Winnowing
 (winnow.py) reduces the suffixes to be sorted to one for each run of windows with a repeated
-anchor, and only where runs with that anchor differ. For these, what follows the anchor and
-what precedes it (read backwards) are sorted as two sparse suffix arrays, by deep-shallow
-sorting (Manzini and Ferragina, 2004): multikey quicksort on eight-byte symbols to a shallow
-depth, then a blind trie for each group that still has a common prefix. The longest common
-prefixes of neighbours give, for each place of the anchor in a window, the classes of equal
-windows, and the earliest of a class stays.
+anchor; equal runs (128 bits of hash) are one suffix, of which the earliest stays. Where runs with
+an anchor differ, what follows the anchor and what precedes it (read backwards) are sorted as two
+sparse suffix arrays, by deep-shallow sorting (Manzini and Ferragina, 2004): multikey quicksort on
+eight-byte symbols to a shallow depth, then a blind trie for each group that still has a common
+prefix. The longest common prefixes of neighbours give, for each place of the anchor in a window,
+the classes of equal windows, and the earliest of a class stays.
+
+A hot anchor is split by the symbols around it before it is sorted: windows are dealt by the
+place of the anchor in them into RANGES, and windows of a range that are equal have the same
+WINDOW - WIDTH + 1 bytes around the anchor, by which runs are grouped.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, cut_spans, keyed, merged
-from .repeats import repeated_runs, unpacked, with_text
+from .repeats import repeated_runs, start, where, windows, with_text
 
 WINDOW = 100
 GRAM = 32
 LEADS = WINDOW - GRAM + 1
 #: Eight-byte symbols that multikey quicksort looks at; beyond them, blind tries.
 SHALLOW = 5
+#: Places of the anchor in a window that are judged together.
+WIDTH = 23
+RANGES = tuple((a, min(a + WIDTH, LEADS)) for a in range(0, LEADS, WIDTH))
 #: Runs that are sorted at once.
 BATCH = 1 << 15
 
@@ -131,15 +140,21 @@ def later_windows(group: np.ndarray, lead: np.ndarray, n: np.ndarray, segments:
 
 
 def _segments(batches):
-    """The bytes that each run's windows cover."""
+    """(group, rid, place, bytes): each run cut by RANGES, with the bytes that its windows there cover."""
     for batch in batches:
         out: list[list] = [[], [], [], []]
         for rid, text, runs in zip(*(batch.column(i) for i in range(3))):
-            data = text.as_py()
+            data, doc = text.as_py(), rid.as_py()
             for r in runs.as_py():
-                start, n = r["place"] >> 16, r["place"] & 255
-                for column, value in zip(out, (r["h"], rid.as_py(), r["place"], data[start : start + n - 1 + WINDOW])):
-                    column.append(value)
+                begin, lead, n = r["place"] >> 16, r["place"] >> 8 & 255, r["place"] & 255
+                for a, b in RANGES:
+                    low, high = max(lead - n + 1, a), min(lead, b - 1)
+                    if low <= high:
+                        at, anchor = begin + lead - high, begin + lead
+                        around = xxhash.xxh64_intdigest(data[anchor - a : anchor + WINDOW - b + 1], a)
+                        row = (around - (around >> 63 << 64), doc, at << 16 | high << 8 | (high - low + 1), data[at : at + high - low + WINDOW])
+                        for column, value in zip(out, row):
+                            column.append(value)
         yield pa.RecordBatch.from_arrays(
             [*(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())], names=["h", "rid", "place", "bytes"])
 
@@ -172,20 +187,23 @@ def _judge(batches):
 
 def earlier_repeats(scratch: Scratch, docs: DataFrame) -> DataFrame:
     """(rid, start, n): windows from start on, n in number, whose bytes also start earlier."""
-    runs = repeated_runs(scratch, docs, WINDOW, GRAM, words=False)
-    where = F.col("rid").cast("decimal(38,0)") * F.lit(1 << 60).cast("decimal(19,0)") + F.col("place")
-    runs = runs.withColumn("at", where.cast("decimal(38,0)"))
-    kinds = runs.groupBy("h", "s").agg(F.min("at").alias("least"))
-    mixed = kinds.groupBy(F.col("h").alias("h_")).agg((F.count("*") > 1).alias("mixed"))
-    kinds = kinds.join(mixed, kinds["h"] == mixed["h_"]).select(F.col("h").alias("h_"), F.col("s").alias("s_"), "least", "mixed")
+    found = repeated_runs(scratch, docs, WINDOW, GRAM, words=False)
+    runs = functools.reduce(DataFrame.union, found).withColumn("at", where())
+    kinds = scratch.save(runs.groupBy(F.col("h").alias("h_"), F.col("s").alias("s_")).agg(F.min("at").alias("least")))
     marked = scratch.save(runs.join(kinds, (F.col("h") == F.col("h_")) & (F.col("s") == F.col("s_"))).select(
-        "h", "rid", "place", "mixed", (F.col("at") == F.col("least")).alias("first")))
-    whole = unpacked(marked.filter("not first").select("rid", "place")).select("rid", "start", "n")
+        "h", "rid", "place", "reps", "mixed", (F.col("at") == F.col("least")).alias("first")), kinds, *found)
+    # of a first run that goes on, all but its beginning is a repeat
+    skip = F.when(F.col("first"), 1).otherwise(0)
+    whole = marked.filter("not first or reps > 1").select(
+        "rid", (start() + windows() * skip).alias("start"), (windows() * (F.col("reps") - skip)).cast("long").alias("n"))
     firsts = marked.filter("first and mixed").select("h", "rid", "place")
     segments = with_text(docs, firsts, _segments, "h long, rid long, place long, bytes binary")
-    parted = scratch.save(segments.repartition("h").sortWithinPartitions("h", "rid", "place").mapInArrow(
-        _judge, "rid long, start long, n long"))
-    return scratch.save(whole.union(parted))
+    segments = scratch.save(segments)
+    shared = scratch.save(segments.groupBy(F.col("h").alias("h_")).count().filter("count > 1").select("h_"))
+    several = segments.join(shared, segments["h"] == shared["h_"], "left_semi")
+    parted = scratch.save(several.repartition("h").sortWithinPartitions("h", "rid", "place").mapInArrow(
+        _judge, "rid long, start long, n long"), segments, shared)
+    return scratch.save(whole.union(parted), marked, parted)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ anchors at equal places. Consecutive windows with the same anchor make a run, de
     start   first window's start in the document
     lead    anchor's start less the first window's start
     n       number of windows
+    reps    how many such runs follow one another (texts with a period have many)
 
 Runs with equal (h, s) are equal window for window; windows of runs with different h differ.
 So only runs with equal h and different s need their tokens compared.
@@ -85,10 +86,11 @@ def least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(tokens: np.ndarray, lengths: np.ndarray, window: int, gram: int):
-    """Runs of the pieces that tokens holds one after another: arrays (piece, start, lead, n, h, s)."""
+    """Runs of the pieces that tokens holds one after another: arrays (piece, start, lead, n, h, s, reps)."""
     none = np.zeros(0, dtype=np.int64)
+    nothing = (none, none, none, none, none.view(np.uint64), none.view(np.uint64), none)
     if len(tokens) < window:
-        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     ends = np.cumsum(lengths)
     begins = ends - lengths
     hashes = grams(tokens, gram)
@@ -99,7 +101,7 @@ def runs(tokens: np.ndarray, lengths: np.ndarray, window: int, gram: int):
         valid[lo:hi] = False
     at = np.flatnonzero(valid)
     if not len(at):
-        return none, none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     anchor = (best[at] & PLACE).astype(np.int64)
     new = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(at) != 1)) + 1
     first = np.concatenate([[0], new])
@@ -108,28 +110,34 @@ def runs(tokens: np.ndarray, lengths: np.ndarray, window: int, gram: int):
     lead = anchor - start
     cover = span_hashes(tokens, start, start + n - 1 + window)
     s = mix(cover + lead.astype(np.uint64) * _U(_BASE))
-    piece = np.searchsorted(ends, start, side="right")
-    return piece, start - begins[piece], lead, n, hashes[anchor], s
+    piece, h = np.searchsorted(ends, start, side="right"), hashes[anchor]
+    goes_on = (s[1:] == s[:-1]) & (h[1:] == h[:-1]) & (n[1:] == n[:-1]) & (piece[1:] == piece[:-1])
+    first = np.concatenate([[0], np.flatnonzero(~goes_on) + 1])
+    reps = np.diff(np.concatenate([first, [len(h)]]))
+    piece, start, lead, n, h, s = (x[first] for x in (piece, start, lead, n, h, s))
+    return piece, start - begins[piece], lead, n, h, s, reps
 
 
-def pieces(documents: Iterator[tuple[int, np.ndarray]], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, list, list]]:
-    """Groups of whole documents, or overlapping pieces of long ones: (tokens, lengths, document, offset)."""
+def pieces(documents: Iterator[tuple[int, np.ndarray]], window: int, of=None) -> Iterator[tuple[np.ndarray, np.ndarray, list, list]]:
+    """Groups of whole documents, or overlapping pieces of long ones: (tokens, lengths, document, offset).
+    of: makes tokens of a group's data, so that a long document's are never all there at once."""
     held, lengths, who, offset, size = [], [], [], [], 0
-    for name, tokens in documents:
-        if len(tokens) < window:
+    made = lambda: (np.concatenate(held) if of is None else of(np.concatenate(held)), np.array(lengths), who, offset)
+    for name, data in documents:
+        if len(data) < window:
             continue
-        for lo in range(0, len(tokens) - window + 1, LONGEST):
-            part = tokens[lo : lo + LONGEST + window - 1]
+        for lo in range(0, len(data) - window + 1, LONGEST):
+            part = data[lo : lo + LONGEST + window - 1]
             held.append(part)
             lengths.append(len(part))
             who.append(name)
             offset.append(lo)
             size += len(part)
             if size >= STEP:
-                yield np.concatenate(held), np.array(lengths), who, offset
+                yield made()
                 held, lengths, who, offset, size = [], [], [], [], 0
     if held:
-        yield np.concatenate(held), np.array(lengths), who, offset
+        yield made()
 
 
 _SPACE = np.zeros(256, dtype=bool)
