@@ -1,16 +1,18 @@
 """Substring dedup over words by De Bruijn compaction.
 
 Edges of the graph are 35-word windows (token k-mers); a window that occurs twice anywhere is a
-repeated edge. Most repeated edges lie on nonbranching paths, so they are compacted twice:
-while reading, consecutive windows with one winnowing anchor become a path piece with one label
-(winnow.py), and only where pieces with the same anchor differ are they opened into single
-edges; then, through Spark joins, labels that follow each other in all their sources without
-branching become one path. Source coordinates of the pieces of a path, put end to end, give
-verified spans, whose words are removed.
+repeated edge. Most repeated edges lie on nonbranching paths, so they are compacted twice. While
+reading, consecutive windows with one winnowing anchor become a piece with one label (winnow.py);
+only where pieces with the same anchor differ are they opened into single edges. Then labels are
+compacted through Spark joins: where every occurrence of a label is followed by the same other
+one, and that one always preceded by it, the two are on one path. A path is laid out once, along
+its earliest source; its other occurrences are found by its two ends alone, and count if both
+ends are in the source at the path's distance. These verified spans are removed.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -19,8 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import winnow
-from .common import Scratch, components, cut_spans, keyed, merged
-from .repeats import repeated_runs, unpacked, with_text
+from .common import Scratch, cut_spans, keyed, merged
+from .repeats import repeated_runs, start, where, windows, with_text
 
 WINDOW = 35
 GRAM = 8
@@ -46,53 +48,55 @@ def _edges(batches):
 
 def repeated_pieces(scratch: Scratch, docs: DataFrame) -> DataFrame:
     """(label, rid, start, n): path pieces of n consecutive repeated edges, from word `start` on."""
-    runs = repeated_runs(scratch, docs, WINDOW, GRAM, words=True)
-    kinds = runs.groupBy("h", "s").agg(F.count("*").alias("often"))
-    mixed = kinds.groupBy(F.col("h").alias("h_")).agg((F.count("*") > 1).alias("mixed"))
-    kinds = kinds.join(mixed, kinds["h"] == mixed["h_"]).select(F.col("h").alias("h_"), F.col("s").alias("s_"), "often", "mixed")
-    marked = scratch.save(runs.join(kinds, (F.col("h") == F.col("h_")) & (F.col("s") == F.col("s_"))).select(
-        "h", "s", "rid", "place", "mixed", (F.col("often") > 1).alias("twice")))
-    whole = unpacked(marked.filter("twice")).select(F.xxhash64("h", "s").alias("label"), "rid", "start", "n")
+    found = repeated_runs(scratch, docs, WINDOW, GRAM, words=True)
+    runs = functools.reduce(DataFrame.union, found).withColumn("at", where())
+    kinds = scratch.save(runs.groupBy(F.col("h").alias("h_"), F.col("s").alias("s_")).agg(
+        (F.sum("reps") > 1).alias("twice"), F.first("mixed").alias("mixed_"), F.min("at").alias("at_"),
+        F.min_by("rid", "at").alias("rid_"), F.min_by("place", "at").alias("place_")))
+    known = kinds.filter("twice").select("h_", "s_")
+    whole = scratch.save(runs.join(known, (F.col("h") == F.col("h_")) & (F.col("s") == F.col("s_"))).select(
+        F.xxhash64("h", "s", "reps").alias("label"), "rid", start().alias("start"), (windows() * F.col("reps")).cast("long").alias("n")), *found)
     # edges of runs that are alone in their class can still equal edges of runs in another
     # class; of each class one run is enough to tell
-    least = marked.filter("mixed").groupBy("h", "s").agg(
-        F.min(F.struct("rid", "place")).alias("one"), F.first("twice").alias("twice"))
-    opened = with_text(docs, least.select("h", F.col("one.rid").alias("rid"), F.col("one.place").alias("place")), _edges,
-                       "h long, edge long, rid long, at long")
-    alone = least.filter("not twice").select(F.col("one.rid").alias("rid"), F.col("one.place").alias("place"))
-    alone = unpacked(alone).select("rid", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("at"))
-    opened = scratch.save(opened)
+    least = kinds.filter("mixed_").select(F.col("h_").alias("h"), "twice", F.col("rid_").alias("rid"), F.col("place_").alias("place"))
+    opened = scratch.save(with_text(docs, least, _edges, "h long, edge long, rid long, at long"))
+    alone = least.filter("not twice").select("rid", F.explode(F.sequence(start(), start() + windows() - 1)).alias("at"))
     often = opened.groupBy(F.col("h").alias("h_"), F.col("edge").alias("edge_")).count().filter("count > 1").drop("count")
+    often = scratch.save(often)
     single = opened.join(often, (F.col("h") == F.col("h_")) & (F.col("edge") == F.col("edge_"))).join(alone, ["rid", "at"], "left_semi")
     single = single.select(F.xxhash64("h", "edge").alias("label"), "rid", F.col("at").alias("start"), F.lit(1).cast("long").alias("n"))
-    return scratch.save(whole.union(single))
+    return scratch.save(whole.union(single), whole, kinds, opened, often)
 
 
 def compacted(scratch: Scratch, found: DataFrame) -> DataFrame:
-    """(label, path): labels on one nonbranching path share a path; other labels are absent."""
+    """(head, tail, offset, total): each nonbranching path by the labels at its ends, how many edges the
+    tail begins after the head, and how many edges there are. A path of one label is its own tail."""
     along = Window.partitionBy("rid").orderBy("start")
     steps = found.select("label", (F.col("start") + F.col("n")).alias("end"), F.lead("start").over(along).alias("next"),
-                         F.lead("label").over(along).alias("then")).filter("end = next").groupBy("label", "then").count()
-    steps = scratch.save(steps)
-    one_out = steps.groupBy("label").count().filter("count = 1").select("label")
-    one_in = steps.groupBy("then").count().filter("count = 1").select("then")
-    plain = steps.join(one_out, "label", "left_semi").join(one_in, "then", "left_semi")
-    return components(scratch, plain.select(F.col("label").alias("u"), F.col("then").alias("v"))).select(
-        F.col("node").alias("label"), F.col("root").alias("path"))
+                         F.lead("label").over(along).alias("then")).filter("end = next").groupBy("label", "then").agg(F.count("*").alias("c"))
+    at = F.col("rid").cast("decimal(38,0)") * F.lit(1 << 60).cast("decimal(19,0)") + F.col("start")
+    nodes = scratch.save(found.withColumn("at", at.cast("decimal(38,0)")).groupBy("label").agg(
+        F.count("*").alias("often"), F.min("at").alias("at"), F.min_by("rid", "at").alias("rid"), F.min_by("start", "at").alias("start"), F.first("n").alias("n")))
+    often = nodes.select("label", "often")
+    links = steps.join(often, "label").filter("c = often").drop("often").join(often.toDF("then", "often"), "then").filter("c = often")
+    links = scratch.save(links.select(F.col("then").alias("label"), F.lit(True).alias("linked")))
+    # all labels of a path have their earliest occurrence in one source, one after another
+    laid = nodes.join(links, "label", "left").withColumn("path", F.sum(F.when(F.col("linked"), 0).otherwise(1)).over(along))
+    ends = laid.groupBy("rid", "path").agg(F.min_by("label", "start").alias("head"), F.max_by("label", "start").alias("tail"),
+                                           F.max("start").alias("last"), F.min("start").alias("first"), F.sum("n").alias("total"))
+    return scratch.save(ends.select("head", "tail", (F.col("last") - F.col("first")).alias("offset"), "total"), nodes, links)
 
 
 def repeated_spans(scratch: Scratch, docs: DataFrame) -> DataFrame:
-    """(rid, lo, hi, path): verified spans of words, each along one path of the compacted graph."""
+    """(rid, lo, hi): verified spans of words, each an occurrence of one path of the compacted graph."""
     found = repeated_pieces(scratch, docs)
-    paths = compacted(scratch, found).withColumnRenamed("label", "label_")
-    laid = found.join(paths, found["label"] == paths["label_"], "left").select(
-        "rid", "start", "n", F.coalesce("path", "label").alias("path"))
-    along = Window.partitionBy("rid").orderBy("start")
-    goes_on = (F.lag(F.col("start") + F.col("n")).over(along) == F.col("start")) & (F.lag("path").over(along) == F.col("path"))
-    cut = laid.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_span", F.sum("_new").over(along))
-    return scratch.save(cut.groupBy("rid", "_span").agg(
-        F.min("start").alias("lo"), (F.max(F.col("start") + F.col("n")) - 1 + WINDOW).alias("hi"),
-        F.first("path").alias("path")).drop("_span"))
+    paths = compacted(scratch, found)
+    ends = scratch.save(paths.select(F.col("head").alias("end"), F.lit(0).cast("long").alias("back"), "head", "total", F.when(
+        F.col("head") == F.col("tail"), 2).otherwise(1).alias("ends")).union(
+            paths.filter("head <> tail").select("tail", "offset", "head", "total", F.lit(1))), paths)
+    met = found.join(ends, F.col("label") == F.col("end")).select("rid", (F.col("start") - F.col("back")).alias("lo"), "head", "total", "ends")
+    spans = met.groupBy("rid", "lo", "head").agg(F.sum("ends").alias("ends"), F.first("total").alias("total")).filter("ends = 2")
+    return scratch.save(spans.select("rid", "lo", (F.col("lo") + F.col("total") - 1 + WINDOW).alias("hi")), found, ends)
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
@@ -105,7 +109,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ke
     """
     scratch = Scratch(docs.sparkSession, "debruijn")
     own = keyed(scratch, docs, key, text)
-    spans = repeated_spans(scratch, own).select("rid", "lo", "hi")
+    spans = repeated_spans(scratch, own)
 
     def of(batches):
         for batch in batches:
