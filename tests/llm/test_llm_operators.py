@@ -276,6 +276,30 @@ def test_suffix_array_dedup(spark, rows):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def test_texts_of_one_period_are_few_runs(spark):
+    docs = [(1, "z" * 6000), (2, "y" + "z" * 4000 + "x"), (3, "abc" * 1500), (4, "bca" * 1000)]
+    tokens = winnow.BYTE_TOKENS[np.full(20_000, 97, dtype=np.uint8)]
+    assert len(winnow.runs(tokens, np.array([20_000]), 100, 32)[0]) < 5
+    got = suffix_array.without_repeats(frame(spark, docs)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_bytes(docs)
+    spaced = [(d, " ".join(t)) for d, t in docs]
+    got = debruijn.without_repeats(frame(spark, spaced)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_words(spaced)
+
+
+@pytest.mark.parametrize("width", [23, 5, 69])
+def test_a_hot_anchor_in_many_surroundings(spark, monkeypatch, width):
+    monkeypatch.setattr(suffix_array, "RANGES", tuple((a, min(a + width, suffix_array.LEADS)) for a in range(0, suffix_array.LEADS, width)))
+    rng = random.Random(12)
+    hot, side = ("q%04d" % 7) * 14, lambda n: "".join(rng.choice("ab") for _ in range(n))
+    left, right = [side(40) for _ in range(3)], [side(40) for _ in range(3)]
+    docs = [(i, side(20) + rng.choice(left)[rng.randrange(30):] + hot + rng.choice(right)[: rng.randrange(40)] + side(20)) for i in range(60)]
+    got = suffix_array.without_repeats(frame(spark, docs)).collect()
+    want = brute_bytes(docs)
+    assert sum(v[1] for v in want.values()) > 1000
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
 def test_suffix_array_repeated_rows(spark):
     rng = random.Random(8)
     long_ = "".join(rng.choice("abcdefgh") for _ in range(300))
@@ -306,8 +330,8 @@ def test_long_documents_are_cut_into_pieces(monkeypatch):
     def starts(parts):
         out = collections.Counter()
         for tok, lengths, _, offset in parts:
-            piece, start, lead, n, h, _s = winnow.runs(tok, lengths, 100, 32)
-            for p, a, k, hh in zip(piece, start, n, h):
+            piece, start, lead, n, h, _s, reps = winnow.runs(tok, lengths, 100, 32)
+            for p, a, k, hh in zip(piece, start, n * reps, h):
                 out.update((int(a) + offset[p] + j, int(hh)) for j in range(k))
         return out
     assert starts(whole) == starts(cut) and len(starts(cut)) == 4901
@@ -331,6 +355,35 @@ def test_debruijn_dedup(spark, rows):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_words(docs)
 
 
+def test_debruijn_spans_come_from_compacted_paths(spark, rows, monkeypatch):
+    scratch, seen = common.Scratch(spark, "t"), []
+    of = debruijn.compacted
+
+    def spy(scratch, found):
+        paths = of(scratch, found)
+        seen.append((found.select("label").distinct().count(), paths.count()))
+        return paths
+
+    monkeypatch.setattr(debruijn, "compacted", spy)
+    own = common.keyed(scratch, frame(spark, rows), "doc_id", "text")
+    assert debruijn.repeated_spans(scratch, own).count() > 0
+    assert 0 < seen[0][1] < seen[0][0] / 2
+    monkeypatch.setattr(debruijn, "compacted", lambda scratch, found: scratch.save(of(scratch, found).filter("head = tail")))
+    broken = debruijn.without_repeats(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in broken} != brute_words(rows)
+
+
+def test_rows_of_one_key_are_in_the_order_of_their_texts(spark):
+    docs = [(1, f"{i * 7919 % 4000:05d}") for i in range(4000)] + [(None, "n")] * 3
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = common.numbered(common.Scratch(spark, "t"), frame(spark, docs).repartition(7)).select("rid_", "doc_id", "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = sorted(got, key=lambda r: r.rid_)
+    assert [r.text for r in got] == ["n"] * 3 + sorted(t for d, t in docs if d)
+
+
 def test_debruijn_repeated_rows(spark):
     text = " ".join(f"v{i}" for i in range(50))
     got = debruijn.without_repeats(frame(spark, [(1, text), (1, text), (None, None)])).collect()
@@ -353,9 +406,44 @@ def test_chat_rotation(spark):
     assert chat.rotated(df.filter("false")).count() == 0
 
 
-def test_chat_parts(spark):
-    many = spark.range(2 * chat.PART + 5).select(F.lit(1).alias("conv_id"), F.lit(4).alias("turn"), F.lit("u").alias("role"), F.col("id").cast("string").alias("text"))
-    assert sorted(r.n_messages for r in chat.rotated(many).collect()) == [5, chat.PART, chat.PART]
+def brute_chat(rows, most=None):
+    """(conv_id, perspective, part) -> (text, mask spans), by hand."""
+    null = lambda x: (x is not None, x if x is not None else 0 if isinstance(x, int) else "")
+    talks, out = collections.defaultdict(list), {}
+    for conv, turn, role, text in rows:
+        talks[conv].append((turn, role, text))
+    for conv, messages in talks.items():
+        messages.sort(key=lambda m: tuple((x is not None, x) if x is not None else (False,) for x in m))
+        messages = [(r or "", (t or "").replace("<|", "< |")) for _, r, t in messages]
+        who = sorted({r for r, _ in messages} - {"system"}) or [None]
+        size = most or len(messages)
+        for part in range(-(-len(messages) // size)):
+            own = messages[part * size : (part + 1) * size]
+            if part and messages[0][0] == "system":
+                own = messages[:1] + own
+            for me in who:
+                text, spans = "", []
+                for r, t in own:
+                    name = "system" if r == "system" else "assistant" if r == me else "user name=" + r.replace("<|", "< |").replace("\n", " ")
+                    text += f"<|im_start|>{name}\n"
+                    if r == me:
+                        spans.append((len(text), len(text) + len(t) + 11))
+                    text += t + "<|im_end|>\n"
+                out[conv, me, part] = (text, ",".join(f"{a}-{b}" for a, b in spans), len(own))
+    return out
+
+
+@pytest.mark.parametrize("most", [None, 4])
+def test_chat_whole_dialogues_and_parts(spark, most):
+    rng = random.Random(3)
+    talk = [(c, t, rng.choice(["ann", "bob", "c\nd", None, "x<|"]), rng.choice(["hi", "é" * 9, "", None])) for c in (1, 2, None) for t in rng.sample(range(30), 11)]
+    talk += [(1, -1, "system", "be kind"), (5, 511, "ann", "a"), (5, 512, "bob", "b"), (6, 1_700_000_000, "ann", "a"), (6, 1_700_000_600, "bob", "b"),
+             (7, None, "ann", "n"), (7, None, "ann", "n"), (8, 0, "ann", "l" * 200_000), (9, 0, "system", "s")]
+    df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.perspective, r.part): (r.text, r.mask, r.n_messages) for r in chat.rotated(df.repartition(5), most).collect()}
+    assert got == brute_chat(talk, most)
+    if most is None:
+        assert {p for _, _, p in got} == {0} and got[5, "ann", 0][2] == 2 and got[6, "bob", 0][2] == 2
 
 
 # ---- 8 -----------------------------------------------------------------------------------------
