@@ -129,8 +129,8 @@ def links(scratch: Scratch, fps: DataFrame, hot_homes: int = HOT_HOMES) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64)), batch.column(0)], names=["anchor", "fp"])
 
     homes = fps.select("fp").mapInArrow(home_of, "anchor long, fp long")
-    full = homes.groupBy("anchor").count().select("anchor", (F.col("count") > hot_homes).alias("hot"))
-    homes = scratch.save(homes.join(full, "anchor"))
+    full = scratch.save(homes.groupBy("anchor").count().select("anchor", (F.col("count") > hot_homes).alias("hot")))
+    homes = scratch.save(homes.join(full, "anchor"), full)
     near = fps.select("fp").mapInArrow(spread, "anchor long, fp long, home boolean").select("anchor", F.col("fp").alias("v"))
     differ = F.expr("bit_count(u ^ v)")
     cold = homes.filter("not hot").select("anchor", F.col("fp").alias("u")).join(near, "anchor").filter(
@@ -142,21 +142,22 @@ def links(scratch: Scratch, fps: DataFrame, hot_homes: int = HOT_HOMES) -> DataF
     return cold.union(hot)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp, component): the smallest key that links of fingerprints reach, itself included.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
+    """(key, fp, component): the smallest key that links of fingerprints reach, itself included. width: words of a shingle.
 
     A null or empty text has fingerprint zero and is linked like any other; equal rows link as
     equal fingerprints; a null key gets the component of its fingerprint's other keys, or null
     where there are none. Columns beside key and text are ignored, whatever their names.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    marked = scratch.save(fingerprints(docs, key, text))
+    marked = scratch.save(fingerprints(docs, key, text, width))
     classes = scratch.save(marked.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(scratch, links(scratch, classes))
     tied = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     lowest = tied.groupBy("root").agg(F.min("least").alias("component"))
-    named = tied.join(lowest, "root").select(F.col("fp").alias("fp_"), "component")
+    # a table of its own, so that Spark can split the join where a fingerprint has many documents
+    named = scratch.save(tied.join(lowest, "root").select(F.col("fp").alias("fp_"), "component"))
     return marked.join(named, marked["fp"] == named["fp_"]).select(key, "fp", "component")
 
 
