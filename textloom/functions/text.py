@@ -168,6 +168,12 @@ def total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def top_total(words: Column, most: int) -> Column:
+    """How often the `most` words that occur most often occur together."""
+    often = F.transform(F.array_distinct(words), lambda w: F.size(F.filter(words, lambda x: x == w)))
+    return F.when(F.size(F.array_distinct(words)) <= most, F.size(words).cast("long")).otherwise(total(F.slice(F.reverse(F.array_sort(often)), 1, most)))
+
+
 def mean(numbers: Column) -> Column:
     return per(total(numbers), F.size(numbers))
 

@@ -37,7 +37,7 @@ def measure(docs: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id", c
         at(n - 1).cast("long").alias("last_sentence_length"), rank(at(n - 1)).alias("last_sentence_percentile"), X.mean(prose).alias("paragraph_length_mean"),
         "dialogue_ratio", (F.col("exclaim_per_1000") + F.col("question_per_1000")).alias("exclaim_question_per_1000"), "dash_per_1000", "ellipsis_per_1000",
         "kanji_ratio", "simile_per_1000",
-        X.per(F.size(X.reduplications(F.col("body"), profile)) if profile.kana else F.lit(0), F.length("body"), 1000).alias("reduplication_per_1000"))
+        X.per(X.top_total(X.reduplications(F.col("body"), profile), 40) if profile.kana else F.lit(0), F.length("body"), 1000).alias("reduplication_per_1000"))
     curve = D.tension_curve(D.sentence_rows(own, key), profile, key)
     half = lambda test: F.avg(F.when(test, F.col("dialogue_ratio")))
     ends = D.peaks(curve, key).join(curve.groupBy(key).agg((half(F.col("segment") > 5) > half(F.col("segment") <= 5)).alias("dialogue_later_half")), key)

@@ -3,19 +3,14 @@
 from __future__ import annotations
 
 from ..operators.corpus import DISTRIBUTED
-from ..profiles import ADVICE, CHECKS, DIALOGUE_TOLERANCE, ERAS, LATIN, MARGIN, PROFILE_METRICS, QUANTILES, SPARK
-
-_HEAD = "|".join(f"(?:{p})" for p in LATIN.headings)
-_MARK = "|".join(f"(?:{p})" for p in LATIN.markers.values())
-_OLD = LATIN.old_letters + LATIN.old_kana
-
+from ..profiles import ADVICE, CHECKS, DIALOGUE_TOLERANCE, ERAS, LATIN, MARGIN, PROFILE_METRICS, QUANTILES, SPARK, Profile
 
 def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({c}, '^[\\s　]+|[\\s　]+$', '', 'g')"
 
 
 def _count(c: str, *parts: str) -> str:
@@ -26,29 +21,63 @@ def _ratio(c: str, letters: str) -> str:
     return f"CASE WHEN length({c}) > 0 THEN (length({c}) - length(regexp_replace({c}, '[{letters}]', '', 'g'))) / length({c}) ELSE 0.0 END"
 
 
-#: pa: paragraphs; ke: those that are no headings; bo: bodies; se: sentences; sa: with sums before.
-_BASE = f"""
+def _marks(P: Profile) -> dict[str, str]:
+    """A test in SQL for each simile marker. DuckDB's patterns can't look ahead: then a place must begin with
+    the one part of the pattern and not go on with the other."""
+    tests = {}
+    for name, pattern in P.markers.items():
+        if "(?!" not in pattern:
+            tests[name] = f"regexp_matches(s, {_q(pattern)})"
+            continue
+        before, rest = pattern.split("(?!")
+        cut = rest.rindex(")")
+        tests[name] = (f"len(list_filter(generate_series(1, length(s)), lambda i: regexp_matches(substr(s, i), {_q('^' + before + rest[cut + 1:])}) "
+                       f"AND NOT regexp_matches(substr(s, i), {_q('^' + before + '(' + rest[:cut] + ')')}))) > 0")
+    return tests
+
+
+#: Words of a text that double two or three letters: (doc_id, word, pos), with what DuckDB's patterns can't say as conditions.
+def _doubled(P: Profile) -> str:
+    kana = f"[{P.kana}]"
+    one = " UNION ALL ".join(
+        f"SELECT doc_id, {n} AS k, i, substr(body, i, {2 * n}) AS word FROM (SELECT doc_id, body, unnest(generate_series(1, length(body))) AS i FROM bo) "
+        f"WHERE regexp_matches(substr(body, i, {2 * n}), '^{kana}{{{2 * n}}}$') AND substr(body, i, {n}) = substr(body, i + {n}, {n}) AND NOT regexp_matches(substr(body, i - 1, 1), '{kana}')"
+        for n in (2, 3))
+    return f"""
+rw AS (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY k, i) AS pos FROM ({one}) WHERE word NOT IN ({", ".join(map(_q, P.stopwords))})),
+rc AS (SELECT doc_id, word, count(*) AS count, min(pos) AS pos FROM rw GROUP BY doc_id, word),
+ro AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY count DESC, pos) AS rank, word, count FROM rc)"""
+
+
+def parts(P: Profile) -> dict[str, str]:
+    """The steps that queries share, for a profile."""
+    head = "|".join(f"(?:{p})" for p in P.headings)
+    tests = _marks(P)
+    marked = "(" + " OR ".join(tests.values()) + ")"
+    doubled = "coalesce((SELECT sum(count) FROM ro WHERE ro.doc_id = st.doc_id AND rank <= 40), 0) * 1000 / characters" if P.kana else "0.0::DOUBLE"
+    #: pa: paragraphs; ke: those that are no headings; bo: bodies; se: sentences; sa: with sums before.
+    base = f"""
 pa AS (SELECT * FROM (SELECT doc_id, source, lang, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS ix FROM documents)
-       WHERE regexp_matches(p, '\\S')),
-ph AS (SELECT *, length({_strip('p')}) <= {LATIN.heading_length} AND NOT contains(p, '{LATIN.full_stop}') AND regexp_matches({_strip('p')}, {_q(_HEAD)}) AS h FROM pa),
+       WHERE regexp_matches(p, '[^\\s　]')),
+ph AS (SELECT *, length({_strip('p')}) <= {P.heading_length} AND NOT contains(p, '{P.full_stop}') AND regexp_matches({_strip('p')}, {_q(head)}) AS h FROM pa),
 ke AS (SELECT * FROM ph WHERE NOT h),
 bo AS (SELECT d.doc_id, d.source, d.lang, coalesce(string_agg(p, chr(10) ORDER BY ix), '') AS body, count(p) AS np,
-              count(*) FILTER (WHERE regexp_matches(p, {_q(LATIN.dialogue_head)})) AS nd
+              count(*) FILTER (WHERE regexp_matches(p, {_q(P.dialogue_head)})) AS nd
        FROM documents d LEFT JOIN ke ON d.doc_id = ke.doc_id GROUP BY d.doc_id, d.source, d.lang),
-s0 AS (SELECT doc_id, ix, unnest(regexp_extract_all(p, {_q(LATIN.sentence)})) AS r, generate_subscripts(regexp_extract_all(p, {_q(LATIN.sentence)}), 1) AS jx FROM ke),
+s0 AS (SELECT doc_id, ix, unnest(regexp_extract_all(p, {_q(P.sentence)})) AS r, generate_subscripts(regexp_extract_all(p, {_q(P.sentence)}), 1) AS jx FROM ke),
 s1 AS (SELECT doc_id, ix, jx, {_strip('r')} AS s FROM s0),
 se AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ix, jx) - 1 AS ix, s, length(s) AS len FROM s1 WHERE s <> ''),
 sa AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY doc_id ORDER BY ix ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS acc,
               sum(len) OVER (PARTITION BY doc_id)::BIGINT AS total FROM se)"""
 
-_QU = f"""
-qu AS (SELECT doc_id, unnest(regexp_extract_all(body, {_q(LATIN.quote)})) AS q FROM bo),
-qs AS (SELECT doc_id, coalesce(sum(length(q)) FILTER (WHERE length(q) <= {LATIN.dialogue_limit}), 0) AS short,
-              coalesce(sum(length(q)) FILTER (WHERE length(q) > {LATIN.dialogue_limit}), 0) AS long, sum(length(q)) / count(*) AS span FROM qu GROUP BY doc_id)"""
+    qu = f"""
+qu AS (SELECT doc_id, unnest(regexp_extract_all(body, {_q(P.quote)})) AS q FROM bo),
+qs AS (SELECT doc_id, coalesce(sum(length(q)) FILTER (WHERE length(q) <= {P.dialogue_limit}), 0) AS short,
+              coalesce(sum(length(q)) FILTER (WHERE length(q) > {P.dialogue_limit}), 0) AS long, sum(length(q)) / count(*) AS span FROM qu GROUP BY doc_id)"""
 
-_STATS = f"""
+    stats = f"""
 sn AS (SELECT doc_id, count(*) AS n, sum(len)::BIGINT AS sl, sum(len::BIGINT * len)::BIGINT AS sq, max(len) AS mx, list_sort(list(len)) AS ls,
-              count(*) FILTER (WHERE regexp_matches(s, {_q(_MARK)}) AND len BETWEEN 10 AND 160) AS nsim FROM se GROUP BY doc_id),
+              count(*) FILTER (WHERE {marked} AND len BETWEEN 10 AND 160) AS nsim FROM se GROUP BY doc_id),
 st AS (SELECT bo.doc_id, bo.source, bo.lang, body, length(body)::BIGINT AS characters, np AS paragraphs, coalesce(n, 0)::BIGINT AS sentences,
               coalesce(sl / n, 0.0) AS sentence_length_mean, coalesce((ls[(n + 1) // 2] + ls[n // 2 + 1]) / 2, 0.0) AS sentence_length_median,
               coalesce(sqrt((n * sq - sl * sl)::DOUBLE) / n, 0.0) AS sentence_length_stdev, coalesce(mx, 0)::BIGINT AS sentence_length_max,
@@ -56,55 +85,60 @@ st AS (SELECT bo.doc_id, bo.source, bo.lang, body, length(body)::BIGINT AS chara
               CASE WHEN length(body) > 0 THEN coalesce(long, 0) / length(body) ELSE 0.0 END AS quoted_narration_ratio, coalesce(span, 0.0) AS quote_span_mean,
               CASE WHEN np > 0 THEN nd / np ELSE 0.0 END AS dialogue_paragraph_ratio,
               CASE WHEN body = '' THEN '不明' WHEN sc >= 1.5 THEN '旧字旧仮名' WHEN sc >= 0.3 THEN '混在' ELSE '新字新仮名' END AS orthography,
-              {", ".join(f"{_ratio('body', v)} AS {k}_ratio" for k, v in LATIN.classes.items())},
-              CASE WHEN n > 0 THEN ({_count('body', LATIN.comma)}) / n ELSE 0.0 END AS comma_per_sentence,
+              {", ".join(f"{_ratio('body', v)} AS {k}_ratio" for k, v in P.classes.items())},
+              CASE WHEN n > 0 THEN ({_count('body', P.comma)}) / n ELSE 0.0 END AS comma_per_sentence,
               {", ".join(f"CASE WHEN length(body) > 0 THEN ({_count('body', *parts)}) * 1000 / length(body) ELSE 0.0 END AS {name}_per_1000"
-                         for name, parts in (("dash", (LATIN.dash,)), ("ellipsis", (LATIN.ellipsis,)), ("exclaim", LATIN.exclaim), ("question", LATIN.question)))},
+                         for name, parts in (("dash", (P.dash,)), ("ellipsis", (P.ellipsis,)), ("exclaim", P.exclaim), ("question", P.question)))},
               coalesce(nsim, 0)::BIGINT AS simile_count, CASE WHEN length(body) > 0 THEN coalesce(nsim, 0) * 1000 / length(body) ELSE 0.0 END AS simile_per_1000
-       FROM (SELECT *, (length(left(body, 20000)) - length(regexp_replace(left(body, 20000), '[{_OLD}]', '', 'g'))) / greatest(length(left(body, 20000)), 1) * 1000 AS sc FROM bo) bo
+       FROM (SELECT *, (length(left(body, 20000)) - length(regexp_replace(left(body, 20000), '[{P.old_letters + P.old_kana}]', '', 'g'))) / greatest(length(left(body, 20000)), 1) * 1000 AS sc FROM bo) bo
        LEFT JOIN sn ON bo.doc_id = sn.doc_id LEFT JOIN qs ON bo.doc_id = qs.doc_id)"""
 
-_CURVE = f"""
+    curve = f"""
 sg AS (SELECT *, least(floor(acc / (total / 10)), 9)::INTEGER + 1 AS segment FROM sa),
 sj AS (SELECT doc_id, segment, count(*) AS n, sum(len) AS chars, string_agg(s, '' ORDER BY ix) AS t FROM sg GROUP BY doc_id, segment),
-sd AS (SELECT *, coalesce(list_sum([CASE WHEN length(q) <= {LATIN.dialogue_limit} THEN length(q) ELSE 0 END FOR q IN regexp_extract_all(t, {_q(LATIN.quote)})]), 0) AS spoken FROM sj),
+sd AS (SELECT *, coalesce(list_sum([CASE WHEN length(q) <= {P.dialogue_limit} THEN length(q) ELSE 0 END FOR q IN regexp_extract_all(t, {_q(P.quote)})]), 0) AS spoken FROM sj),
 cu AS (SELECT k.doc_id, k.segment, coalesce(n, 0)::BIGINT AS sentences, coalesce(chars / n, 0.0) AS sentence_length_mean, coalesce(spoken / chars, 0.0) AS dialogue_ratio,
-              coalesce(({_count('t', *LATIN.exclaim, *LATIN.question)}) * 1000 / chars, 0.0) AS exclaim_question_per_1000,
-              coalesce(({_count('t', LATIN.dash, LATIN.ellipsis)}) * 1000 / chars, 0.0) AS dash_ellipsis_per_1000
+              coalesce(({_count('t', *P.exclaim, *P.question)}) * 1000 / chars, 0.0) AS exclaim_question_per_1000,
+              coalesce(({_count('t', P.dash, P.ellipsis)}) * 1000 / chars, 0.0) AS dash_ellipsis_per_1000
        FROM (SELECT doc_id, unnest(generate_series(1, 10))::INTEGER AS segment FROM (SELECT DISTINCT doc_id FROM se)) k LEFT JOIN sd ON k.doc_id = sd.doc_id AND k.segment = sd.segment),
 pk AS (SELECT doc_id, CASE WHEN max(exclaim_question_per_1000) > 0 THEN (list(segment ORDER BY exclaim_question_per_1000 DESC, segment))[1] END AS exclaim_peak_segment,
               CASE WHEN max(dialogue_ratio) > 0 THEN (list(segment ORDER BY dialogue_ratio DESC, segment))[1] END AS dialogue_peak_segment FROM cu GROUP BY doc_id)"""
 
-_SIM = f"""
-si AS (SELECT doc_id, ix, array_to_string(list_filter([{", ".join(f"CASE WHEN regexp_matches(s, {_q(p)}) THEN {_q(m)} END" for m, p in LATIN.markers.items())}], lambda x: x IS NOT NULL), '/') AS markers,
+    sim = f"""
+si AS (SELECT doc_id, ix, array_to_string(list_filter([{", ".join(f"CASE WHEN {t} THEN {_q(m)} END" for m, t in tests.items())}], lambda x: x IS NOT NULL), '/') AS markers,
               acc / total AS position, s AS text, row_number() OVER (PARTITION BY doc_id ORDER BY abs(len - 55), ix) AS rank
-       FROM sa WHERE regexp_matches(s, {_q(_MARK)}) AND len BETWEEN 10 AND 160)"""
+       FROM sa WHERE {marked} AND len BETWEEN 10 AND 160)"""
 
-_VOC = f"""
-vw AS (SELECT doc_id, source, unnest(regexp_extract_all(body, {_q(LATIN.words)})) AS word, generate_subscripts(regexp_extract_all(body, {_q(LATIN.words)}), 1) AS pos FROM bo),
+    voc = f"""
+vw AS (SELECT doc_id, source, unnest(regexp_extract_all(body, {_q(P.words)})) AS word, generate_subscripts(regexp_extract_all(body, {_q(P.words)}), 1) AS pos FROM bo),
 vc AS (SELECT doc_id, source, word, count(*) AS count, min(pos) AS pos FROM vw GROUP BY doc_id, source, word),
 vo AS (SELECT doc_id, source, row_number() OVER (PARTITION BY doc_id ORDER BY count DESC, pos) AS rank, word, count FROM vc),
 vk AS (SELECT * FROM vo WHERE rank <= 40 AND count >= 3)"""
 
-#: Notes at a text's end are dropped, then what may be in a sample is measured.
-_MEASURE = f"""
-nl AS (SELECT se.*, max(ix) FILTER (WHERE NOT regexp_matches(s, {_q(LATIN.trailing_note)})) OVER (PARTITION BY doc_id) AS last FROM se),
+    #: Notes at a text's end are dropped, then what may be in a sample is measured.
+    measure = f"""
+nl AS (SELECT se.*, max(ix) FILTER (WHERE NOT regexp_matches(s, {_q(P.trailing_note)})) OVER (PARTITION BY doc_id) AS last FROM se),
 ns AS (SELECT doc_id, ix, s, len FROM nl WHERE ix <= last),
 na AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY doc_id ORDER BY ix ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS acc, sum(len) OVER (PARTITION BY doc_id)::BIGINT AS total FROM ns),
 nn AS (SELECT doc_id, count(*) AS n, sum(len)::BIGINT AS sl, sum(len::BIGINT * len)::BIGINT AS sq, max(len) AS mx, min_by(len, ix) AS fl, max_by(len, ix) AS ll,
-              count(*) FILTER (WHERE regexp_matches(s, {_q(_MARK)}) AND len BETWEEN 10 AND 160) AS nsim FROM ns GROUP BY doc_id),
+              count(*) FILTER (WHERE {marked} AND len BETWEEN 10 AND 160) AS nsim FROM ns GROUP BY doc_id),
 np AS (SELECT ns.doc_id, count(*) FILTER (WHERE len < fl) / count(*) AS fp, count(*) FILTER (WHERE len < ll) / count(*) AS lp FROM ns JOIN nn ON ns.doc_id = nn.doc_id GROUP BY ns.doc_id),
-pr AS (SELECT doc_id, avg(length(p)) AS pm FROM ke WHERE NOT regexp_matches(p, {_q(LATIN.dialogue_head)}) GROUP BY doc_id),
+pr AS (SELECT doc_id, avg(length(p)) AS pm FROM ke WHERE NOT regexp_matches(p, {_q(P.dialogue_head)}) GROUP BY doc_id),
 me AS (SELECT st.doc_id, st.lang, st.source, nn.sl / nn.n AS sentence_length_mean, nn.mx::BIGINT AS sentence_length_max,
-              (sqrt((nn.n * nn.sq - nn.sl * nn.sl)::DOUBLE) / nn.n) / (nn.sl / nn.n) AS sentence_length_cv, ({_count('body', LATIN.comma)}) / nn.n AS comma_per_sentence,
+              (sqrt((nn.n * nn.sq - nn.sl * nn.sl)::DOUBLE) / nn.n) / (nn.sl / nn.n) AS sentence_length_cv, ({_count('body', P.comma)}) / nn.n AS comma_per_sentence,
               fl::BIGINT AS first_sentence_length, fp AS first_sentence_percentile, ll::BIGINT AS last_sentence_length, lp AS last_sentence_percentile,
               coalesce(pm, 0.0) AS paragraph_length_mean, dialogue_ratio, exclaim_per_1000 + question_per_1000 AS exclaim_question_per_1000, dash_per_1000, ellipsis_per_1000,
-              kanji_ratio, nn.nsim * 1000 / characters AS simile_per_1000, 0.0::DOUBLE AS reduplication_per_1000
+              kanji_ratio, nn.nsim * 1000 / characters AS simile_per_1000, {doubled} AS reduplication_per_1000
        FROM st JOIN nn ON st.doc_id = nn.doc_id JOIN np ON st.doc_id = np.doc_id LEFT JOIN pr ON st.doc_id = pr.doc_id
        WHERE characters BETWEEN 300 AND 300000 AND orthography = '新字新仮名' AND nn.n >= 5 AND nn.sl / nn.n <= 400),
-{_CURVE.strip().replace('FROM sa)', 'FROM na)').replace('FROM se))', 'FROM ns))')},
+{curve.strip().replace('FROM sa)', 'FROM na)').replace('FROM se))', 'FROM ns))')},
 mm AS (SELECT me.*, exclaim_peak_segment, dialogue_peak_segment, later AS dialogue_later_half FROM me JOIN pk ON me.doc_id = pk.doc_id
        JOIN (SELECT doc_id, avg(dialogue_ratio) FILTER (WHERE segment > 5) > avg(dialogue_ratio) FILTER (WHERE segment <= 5) AS later FROM cu GROUP BY doc_id) h ON me.doc_id = h.doc_id)"""
+    return {"base": base, "qu": qu, "stats": stats, "curve": curve, "sim": sim, "voc": voc, "measure": measure, "marked": marked, "doubled": _doubled(P) if P.kana else ""}
+
+
+_LATIN = parts(LATIN)
+_BASE, _QU, _STATS, _CURVE, _SIM, _VOC, _MEASURE = (_LATIN[k] for k in ("base", "qu", "stats", "curve", "sim", "voc", "measure"))
 
 
 def _with(*parts: str) -> str:
@@ -186,34 +220,59 @@ cw AS (SELECT doc_id, 'Title ' || doc_id AS title, 'sub ' || lang AS subtitle, s
               CASE """ + " ".join(f"WHEN year BETWEEN {lo} AND {hi} THEN {_q(n)}" for n, lo, hi in ERAS) + """ END AS era, '著作権切れ' AS licence, 'Title_' || doc_id AS slug, 'Title_' || doc_id AS safe FROM ra)"""
 
 
-def oracle_sql() -> dict[str, str]:
-    spark_step = f"CASE WHEN hi - lo < 1e-9 THEN {_q(SPARK[0])} ELSE substr({_q(SPARK)}, least(floor((sentences - lo) / (hi - lo) * 7), 7)::INTEGER + 1, 1) END"
+def document_sql(shared: dict[str, str], P: Profile) -> dict[str, str]:
+    """SQL of the queries that a profile's parts are enough for."""
+    base, curve, sim, voc = (shared[k] for k in ("base", "curve", "sim", "voc"))
+    doc = (base, shared["qu"], shared["stats"])
+    every = (*doc, *([shared["doubled"].strip()] if shared["doubled"] else []), shared["measure"])
     return {
-        "doc_basic_stats": _with(*_DOC) + f" SELECT {_STAT_COLUMNS} FROM st",
-        "doc_headings": _with(_BASE, """
+        "doc_basic_stats": _with(*doc) + f" SELECT {_STAT_COLUMNS} FROM st",
+        "doc_headings": _with(base, """
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ix) - 1 AS n FROM ph),
 rh AS (SELECT *, max(CASE WHEN h THEN n END) OVER (PARTITION BY doc_id ORDER BY n) AS of FROM rk)""") +
             f" SELECT doc_id, of::INTEGER AS index, max({_strip('p')}) FILTER (WHERE h) AS label, coalesce(sum(length(p)) FILTER (WHERE NOT h), 0)::BIGINT AS characters FROM rh WHERE of IS NOT NULL GROUP BY doc_id, of",
-        "doc_sentences": _with(_BASE) + " SELECT doc_id, ix::INTEGER AS ix, s, len::BIGINT AS len, acc, total, acc / total AS position FROM sa",
-        "doc_tension_curve": _with(_BASE, _CURVE) + " SELECT * FROM cu",
-        "doc_peaks": _with(_BASE, _CURVE) + " SELECT * FROM pk",
-        "doc_sparklines": _with(_BASE, _CURVE, "mx AS (SELECT *, min(sentences) OVER (PARTITION BY doc_id) AS lo, max(sentences) OVER (PARTITION BY doc_id) AS hi FROM cu)") +
-            f" SELECT doc_id, string_agg({spark_step}, '' ORDER BY segment) AS spark FROM mx GROUP BY doc_id",
-        "doc_similes": _with(_BASE, _SIM) + " SELECT doc_id, ix::INTEGER AS ix, markers, position, text, rank::INTEGER AS rank FROM si WHERE rank <= 60",
-        "doc_vocabulary": _with(_BASE, _VOC) + " SELECT doc_id, rank::INTEGER AS rank, word, count FROM vk",
-        "doc_openings_closings": _with(_BASE, f"""
-nl AS (SELECT se.*, max(ix) FILTER (WHERE NOT regexp_matches(s, {_q(LATIN.trailing_note)})) OVER (PARTITION BY doc_id) AS last FROM se),
+        "doc_sentences": _with(base) + " SELECT doc_id, ix::INTEGER AS ix, s, len::BIGINT AS len, acc, total, acc / total AS position FROM sa",
+        "doc_tension_curve": _with(base, curve) + " SELECT * FROM cu",
+        "doc_peaks": _with(base, curve) + " SELECT * FROM pk",
+        "doc_similes": _with(base, sim) + " SELECT doc_id, ix::INTEGER AS ix, markers, position, text, rank::INTEGER AS rank FROM si WHERE rank <= 60",
+        "doc_vocabulary": _with(base, voc) + " SELECT doc_id, rank::INTEGER AS rank, word, count FROM vk",
+        "doc_openings_closings": _with(base, f"""
+nl AS (SELECT se.*, max(ix) FILTER (WHERE NOT regexp_matches(s, {_q(P.trailing_note)})) OVER (PARTITION BY doc_id) AS last FROM se),
 nk AS (SELECT * FROM nl WHERE ix <= last)""") + """
 SELECT d.doc_id, coalesce(string_agg(s, '|' ORDER BY ix) FILTER (WHERE ix < 3), '') AS opening, coalesce(string_agg(s, '|' ORDER BY ix) FILTER (WHERE ix > last - 3), '') AS closing
 FROM documents d LEFT JOIN nk ON d.doc_id = nk.doc_id GROUP BY d.doc_id""",
-        "doc_repetitions": _with(_BASE, """
+        "doc_repetitions": _with(base, """
 rh AS (SELECT doc_id, ix, s, left(s, 4) AS head, lag(left(s, 4)) OVER (PARTITION BY doc_id ORDER BY ix) AS before FROM se),
 rr AS (SELECT *, sum(CASE WHEN head = before AND length(head) >= 3 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY ix) AS run FROM rh),
 rg AS (SELECT doc_id, run, min(head) AS head, count(*) AS count, min(ix) AS start, list(s ORDER BY ix) AS ss FROM rr GROUP BY doc_id, run HAVING count(*) >= 3),
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY count DESC, start) AS rank FROM rg)""") +
             " SELECT doc_id, rank::INTEGER AS rank, head, count, array_to_string(ss[2:4], '|') AS sample FROM rk WHERE rank <= 15",
-        "corpus_measures": _with(*_ALL) + " SELECT * FROM mm",
-        "corpus_quantiles": _with(*_ALL) + " " + _quantiles(),
+        "corpus_measures": _with(*every) + " SELECT * FROM mm",
+        "corpus_quantiles": _with(*every) + " " + _quantiles(),
+    }
+
+
+def profile_sql(shared: dict[str, str], P: Profile) -> dict[str, str]:
+    """The same for literal texts, with doubled words."""
+    names = {"doc_": "ja_", "corpus_measures": "ja_sample_measures", "corpus_quantiles": "ja_quantiles"}
+    out = {}
+    for name, sql in document_sql(shared, P).items():
+        for old, new in names.items():
+            name = name.replace(old, new)
+        out[name] = sql
+    doubled = _with(shared["base"], shared["doubled"])
+    out["ja_reduplications"] = doubled + " SELECT doc_id, rank::INTEGER AS rank, word, count FROM ro WHERE rank <= 40"
+    out["ja_reduplication_catalog"] = doubled + """
+SELECT word, sum(count)::BIGINT AS total, array_to_string(list_sort(list(DISTINCT source)), '、') AS authors
+FROM (SELECT * FROM ro WHERE rank <= 40) r JOIN documents USING (doc_id) GROUP BY word ORDER BY total DESC, word LIMIT 150"""
+    return out
+
+
+def oracle_sql() -> dict[str, str]:
+    spark_step = f"CASE WHEN hi - lo < 1e-9 THEN {_q(SPARK[0])} ELSE substr({_q(SPARK)}, least(floor((sentences - lo) / (hi - lo) * 7), 7)::INTEGER + 1, 1) END"
+    return document_sql(_LATIN, LATIN) | {
+        "doc_sparklines": _with(_BASE, _CURVE, "mx AS (SELECT *, min(sentences) OVER (PARTITION BY doc_id) AS lo, max(sentences) OVER (PARTITION BY doc_id) AS hi FROM cu)") +
+            f" SELECT doc_id, string_agg({spark_step}, '' ORDER BY segment) AS spark FROM mx GROUP BY doc_id",
         "corpus_quantiles_by_era": _with(*_ALL) + " " + _quantiles("lang", 30),
         "corpus_quantiles_by_author": _with(*_ALL) + " " + _quantiles("source", 3),
         "corpus_shares": _with(*_ALL) + """
@@ -243,7 +302,7 @@ vi AS (SELECT *, CASE WHEN current < low THEN '上げる' ELSE '下げる' END A
        FROM ({_bands()}) WHERE NOT (current BETWEEN low AND high)),
 ad AS (SELECT * FROM (VALUES {_ADVICE}) v(metric, direction, advice))""") + " SELECT metric, direction, doc_id, current, target, low, high, marginal, advice FROM vi JOIN ad USING (metric, direction)",
         "simile_balance": _with(_BASE, f"""
-fb AS (SELECT doc_id, count(*) FILTER (WHERE acc / total < 0.5) AS front, count(*) FILTER (WHERE acc / total >= 0.5) AS back FROM sa WHERE regexp_matches(s, {_q(_MARK)}) GROUP BY doc_id)""") +
+fb AS (SELECT doc_id, count(*) FILTER (WHERE acc / total < 0.5) AS front, count(*) FILTER (WHERE acc / total >= 0.5) AS back FROM sa WHERE {_LATIN['marked']} GROUP BY doc_id)""") +
             " SELECT doc_id, front, back, (front + 0.5::DOUBLE) / (back + 0.5::DOUBLE) AS ratio, NOT ((front + 0.5::DOUBLE) / (back + 0.5::DOUBLE) BETWEEN 0.5 AND 2.0) AS unbalanced FROM fb WHERE front + back >= 3",
         "quote_occurrences": f"""
 WITH q AS (SELECT item_id, {_FLAT('text')} AS q FROM benchmark WHERE length({_FLAT('text')}) >= 4), t AS (SELECT doc_id, {_FLAT('text')} AS t FROM documents)

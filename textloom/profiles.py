@@ -27,7 +27,7 @@ class Profile:
     stopwords: tuple[str, ...] = ()
     old_letters: str = ""
     old_kana: str = ""
-    trailing_note: str = r"^[(（].{0,60}[)）]$"
+    trailing_note: str = r"^[（(].{0,60}[）)]$"
     heading_length: int = 20
     dialogue_limit: int = 200
     orthography: dict[str, str] = field(default_factory=lambda: {"new": "新字新仮名", "mixed": "混在", "old": "旧字旧仮名", "none": "不明"})
@@ -47,7 +47,6 @@ class Profile:
 
 
 # ---- fixed values: what the results are defined by -------------------------------------------
-_NUMERALS = "一二三四五六七八九十百千"
 JAPANESE = Profile(
     terminators="。！？!?",
     closers="」』）)〉》】］\"'、",
@@ -61,24 +60,25 @@ JAPANESE = Profile(
     full_stop="。",
     classes={"kanji": "一-鿿㐀-䶿", "hiragana": "ぁ-ゟ", "katakana": "ァ-ヿ"},
     headings=(
-        f"^[{_NUMERALS}]+$",
-        f"^[{_NUMERALS}]+[、．.　 ]",
+        "^[一二三四五六七八九十百千]+$",
+        "^[一二三四五六七八九十百千]+[、．.　 ]",
         "^[０-９0-9]+$",
         "^[０-９0-9]+[、．.　 ]",
-        f"^第[{_NUMERALS}０-９0-9]+[^。、]{{0,8}}$",
+        "^第[一二三四五六七八九十百千０-９0-9]+[^。、]{0,8}$",
         "^[上中下]([　\\s].{0,18})?$",
         "^(序|跋|序章|終章|序詞|序文|前編|中編|後編|前篇|中篇|後篇|はしがき|まえがき|あとがき|附記|付記|結語|結び)([　\\s].{0,18})?$",
         "^その[一二三四五六七八九十百０-９0-9]+",
     ),
     markers={
-        "ようだ": "[のただ]よう(?!に(?:思|見え|見受|感じ|なっ|なり|なる|し|せ|言|云|申|願|祈|命|頼|聞|覚え|考え)|な(?:気|感じ|口調|顔|声|様子|風|ふう|具合))[なにだ]",
+        "ようだ": "[のただ]よう(?!に(思|見え|見受|感じ|なっ|なり|なる|し|せ|言|云|申|願|祈|命|頼|聞|覚え|考え)"
+                  "|な(気|感じ|口調|顔|声|様子|風|ふう|具合)|です|であ|でご)[なにだ]",
         "みたい": "みたい[なにだでな]",
-        "ごとし": "のごとく|のごとき|ごとし|如く|如き",
+        "ごとし": "(のごとく|のごとき|ごとし|如く|如き)",
         "まるで": "まるで",
-        "あたかも": "あたかも|恰も",
+        "あたかも": "(あたかも|恰も)",
         "さながら": "さながら",
-        "似る": "に似た|に似て|を思わせる|を思わす",
-        "見紛う": "と見紛う|と見まがう|かと疑う",
+        "似る": "(に似た|に似て|を思わせる|を思わす)",
+        "見紛う": "(と見紛う|と見まがう|かと疑う)",
     },
     words="[一-鿿]{2,4}|[ァ-ヿー]{3,8}",
     kana="ぁ-ゟァ-ヿー",
@@ -86,7 +86,8 @@ JAPANESE = Profile(
         "なかなか", "いよいよ", "ますます", "だんだん", "たびたび", "ときどき", "もともと", "それぞれ", "われわれ", "いろいろ", "しばしば",
         "まちまち", "ほとほと", "とにかく", "かえすがえす", "みすみす", "つれづれ", "とうとう", "わざわざ", "そうそう", "いていて",
     ),
-    old_letters="学國實體發變聲會來氣當樂兒寫廣擧曉晝萬與舊黨點觀壹濟藝總歸戰傳醫櫻",
+    trailing_note=r"^[（(].{0,60}[）)]$",
+    old_letters="學國實體發變聲會來氣當樂兒寫廣擧曉晝萬與舊黨點觀壹濟藝總歸戰傳醫櫻",
     old_kana="ゐゑヰヱ",
 )
 #: The 8 marks of a sparkline, lowest first.
