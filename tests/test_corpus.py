@@ -17,6 +17,22 @@ def test_quantile_takes_the_low_index(spark):
     assert (got.p10, got.p25, got["median"], got.p75, got.p90) == (0.0, 1.0, 2.0, 3.0, 3.0)
 
 
+def test_quantiles_and_medians_against_sorted_lists(spark):
+    import random
+    import statistics
+
+    rng = random.Random(1)
+    values = [(rng.choice("ab"), rng.choice([0.0, -1.5, rng.gauss(30, 9), rng.expovariate(2.0), None]), float(rng.randrange(4))) for _ in range(700)]
+    rows = spark.createDataFrame(values, "g string, x double, y double")
+    for g in "ab":
+        own = sorted(x for h, x, _ in values if h == g and x is not None)
+        got = S.quantiles(rows, ("x", "y"), ("g",)).filter((F.col("g") == g) & (F.col("metric") == "x")).first()
+        assert [got[n] for n, _ in S.QUANTILES] == [own[int(p * (len(own) - 1))] for _, p in S.QUANTILES]
+    got = S.medians(rows, ("x", "y")).first()
+    assert (got.x, got.y) == (statistics.median(x for _, x, _ in values if x is not None), statistics.median(y for *_, y in values))
+    assert S.medians(rows.filter("false"), ("x",)).first().x is None
+
+
 def test_spearman_and_median(spark):
     sizes = [100, 300, 200, 400]
     rows = spark.createDataFrame([(1, i, "x", None, 1, "中", s, 0.0, float(i), "会話", i == 0) for i, s in enumerate(sizes)],

@@ -11,9 +11,13 @@ from ..profiles import ERAS, FIRST_PUBLISHED, LICENCE, NO_LICENCE, SPARK, Profil
 
 
 # ---- cleaning ----------------------------------------------------------------------------------
+#: Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Without white space at both ends, the ideographic space included."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def squeeze(c: Column) -> Column:
@@ -141,7 +145,7 @@ def markers(sentence: Column, profile: Profile) -> Column:
 
 
 def is_simile(sentence: Column, profile: Profile) -> Column:
-    return sentence.rlike("|".join(f"(?:{p})" for p in profile.markers.values())) & F.length(sentence).between(10, 160)
+    return F.length(sentence).between(10, 160) & sentence.rlike("|".join(f"(?:{p})" for p in profile.markers.values()))
 
 
 def reduplications(text: Column, profile: Profile) -> Column:

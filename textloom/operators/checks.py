@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..profiles import ADVICE, CHECKS, CORPUS_NAMES, DIALOGUE_TOLERANCE, JAPANESE, MARGIN, NONFICTION, PLOT_BANDS, SECTION_SHARES, Profile
 from ..profiles import DOWN, UP
 from . import documents as D
+from .corpus import medians
 
 TARGETED = tuple(k for k, *_ in CHECKS if k != "characters")
 
@@ -30,9 +31,11 @@ def targets(stats: DataFrame, length: int | None = None, how: str = "median", wo
     if work:
         stats = stats.filter(~F.col(work).isin(*NONFICTION))
     cv = F.col("sentence_length_cv") if "sentence_length_cv" in stats.columns else F.col("sentence_length_stdev") / F.col("sentence_length_mean")
-    agg = F.avg if how == "mean" else F.median
-    value = {"sentence_length_cv": cv}
-    return stats.agg(F.lit(length).cast("double").alias("characters"), *[agg(value.get(m, F.col(m))).alias(m) for m in TARGETED], F.count("*").alias("works"))
+    own = stats.withColumn("sentence_length_cv", cv)
+    count = own.agg(F.lit(length).cast("double").alias("characters"), F.count("*").alias("works"), *([F.avg(m).alias(m) for m in TARGETED] if how == "mean" else []))
+    if how != "mean":
+        count = count.join(F.broadcast(medians(own, TARGETED)))  # one row
+    return count.select("characters", *TARGETED, "works")
 
 
 def _limits(target: Column, plot: Column, metric: str, band) -> tuple[Column, Column]:

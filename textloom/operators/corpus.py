@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,35 +28,73 @@ def measure(docs: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id", c
     last = F.coalesce(F.array_max(F.filter(F.transform("sents", lambda s, i: F.when(~s.rlike(profile.trailing_note), i + 1)), lambda i: i.isNotNull())), F.lit(0))
     own = own.withColumn("sents", F.slice("sents", F.lit(1), last)).filter(F.size("sents") >= limits["min_sentences"])
     own = own.withColumn("lens", F.transform("sents", lambda s: F.length(s))).filter(X.mean(F.col("lens")) <= limits["max_mean_length"])
-    stats = D.statistics(own, profile, keep=(key, *carry, "kept", "lens", "body"))
+    stats = D.statistics(own, profile, keep=(key, *carry, "kept", "lens", "body", "sents"))
     prose = F.transform(F.filter("kept", lambda p: ~X.is_dialogue(p, profile)), lambda p: F.length(p))
     n = F.size("lens")
     at = lambda i: F.get("lens", i)
     rank = lambda v: F.size(F.filter("lens", lambda x: x < v)) / n
-    out = stats.select(
-        key, *carry, "sentence_length_mean", "sentence_length_max", (F.col("sentence_length_stdev") / F.col("sentence_length_mean")).alias("sentence_length_cv"),
+    measures = F.struct(
+        "sentence_length_mean", "sentence_length_max", (F.col("sentence_length_stdev") / F.col("sentence_length_mean")).alias("sentence_length_cv"),
         "comma_per_sentence", at(F.lit(0)).cast("long").alias("first_sentence_length"), rank(at(F.lit(0))).alias("first_sentence_percentile"),
         at(n - 1).cast("long").alias("last_sentence_length"), rank(at(n - 1)).alias("last_sentence_percentile"), X.mean(prose).alias("paragraph_length_mean"),
         "dialogue_ratio", (F.col("exclaim_per_1000") + F.col("question_per_1000")).alias("exclaim_question_per_1000"), "dash_per_1000", "ellipsis_per_1000",
         "kanji_ratio", "simile_per_1000",
         X.per(X.top_total(X.reduplications(F.col("body"), profile), 40) if profile.kana else F.lit(0), F.length("body"), 1000).alias("reduplication_per_1000"))
-    curve = D.tension_curve(D.sentence_rows(own, key), profile, key)
+    # the first sentence carries the measures, so the text is parsed once
+    rows = stats.select(key, *carry, measures.alias("own"), "sents").select(key, F.struct(*carry, "own").alias("told"), "sents")
+    opened = F.transform("sents", lambda s, i: F.struct(s.alias("s"), F.when(i == 0, F.col("told")).alias("told")))
+    rows = D.with_sums(rows.select(key, F.posexplode(opened).alias("ix", "x")).select(key, "ix", "x.s", "x.told"), key)
+    curve = D.tension_curve(rows, profile, key, keep="told")
     half = lambda test: F.avg(F.when(test, F.col("dialogue_ratio")))
-    ends = D.peaks(curve, key).join(curve.groupBy(key).agg((half(F.col("segment") > 5) > half(F.col("segment") <= 5)).alias("dialogue_later_half")), key)
-    return out.join(ends, key)
+    ends = curve.groupBy(key).agg(F.first("told").alias("told"), *D.peak_columns(), (half(F.col("segment") > 5) > half(F.col("segment") <= 5)).alias("dialogue_later_half"))
+    return ends.select(key, *[f"told.{c}" for c in carry], "told.own.*", "exclaim_peak_segment", "dialogue_peak_segment", "dialogue_later_half")
 
 
-def quantiles(rows: DataFrame, metrics: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
-    """(by, metric, p10 .. p90): the value of index floor(p (n - 1)) in order.
+#: Buckets that a doubling of a value is cut into.
+FINE = 4096
+
+
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls as v grows."""
+    size = lambda x: F.floor(F.log2(x) * FINE) + (1 << 30)
+    return F.when(v > 0, size(v)).when(v < 0, -size(-v)).otherwise(F.lit(0).cast("long"))
+
+
+def order_statistics(rows: DataFrame, metrics: tuple[str, ...], ranks: dict[str, Callable[[Column], Column]], by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, metric, n, and a column for each of ranks): the values of given places, from 0, in order.
 
-    Equal values are counted together before they are ranked, so a window sees different values only.
+    ranks: places by name, of the number n of values. Equal values are counted together; then buckets of
+    values are counted, of which there are a few thousand to a metric, and only the buckets that hold a
+    place are put in order. So no window sees all values of a metric.
     """
     long_ = rows.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])).alias("x"))
-    counts = long_.select(*by, "x.metric", "x.v").filter("v is not null").groupBy(*by, "metric", "v").agg(F.count("*").alias("c"))
-    group = Window.partitionBy(*by, "metric")
-    counts = counts.withColumn("hi", F.sum("c").over(group.orderBy("v"))).withColumn("n", F.sum("c").over(group))
-    at = lambda p: F.floor(F.lit(p) * (F.col("n") - 1))
-    return counts.groupBy(*by, "metric").agg(*[F.min(F.when(F.col("hi") > at(p), F.col("v"))).alias(name) for name, p in QUANTILES])
+    keys = [*by, "metric"]
+    counts = long_.select(*by, "x.metric", "x.v").filter("v is not null").groupBy(*keys, "v").agg(F.count("*").alias("c")).withColumn("bucket", _bucket(F.col("v")))
+    group = Window.partitionBy(*keys)
+    before = lambda w: F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = counts.groupBy(*keys, "bucket").agg(F.sum("c").alias("c")).withColumn("start", before(group.orderBy("bucket"))).withColumn("n", F.sum("c").over(group))
+    places = F.array(*[F.struct(F.lit(name).alias("name"), of(F.col("n")).cast("long").alias("at")) for name, of in ranks.items()])
+    held = sums.withColumn("places", F.filter(places, lambda p: (p["at"] >= F.col("start")) & (p["at"] < F.col("start") + F.col("c")))).filter("size(places) > 0")
+    held = held.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("bucket").alias("_bucket"), "start", "n", "places")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    own = counts.join(held, [*same, F.col("bucket") == F.col("_bucket")])
+    own = own.withColumn("lo", F.col("start") + before(Window.partitionBy(*keys, "bucket").orderBy("v")))
+    at = lambda name: F.get(F.filter("places", lambda p: p["name"] == name), F.lit(0))["at"]
+    found = lambda name: F.min(F.when((at(name) >= F.col("lo")) & (at(name) < F.col("lo") + F.col("c")), F.col("v"))).alias(name)
+    return own.groupBy(*keys).agg(F.first("n").alias("n"), *[found(name) for name in ranks])
+
+
+def quantiles(rows: DataFrame, metrics: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, metric, p10 .. p90): the value of index floor(p (n - 1)) in order."""
+    ranks = {name: (lambda n, p=p: F.floor(F.lit(p) * (n - 1))) for name, p in QUANTILES}
+    return order_statistics(rows, metrics, ranks, by).drop("n")
+
+
+def medians(rows: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    """One row with the median of each metric: the mean of the middle two where there are two; null without values."""
+    middle = order_statistics(rows, metrics, {"low": lambda n: F.floor((n - 1) / 2), "high": lambda n: F.floor(n / 2)})
+    of = middle.select("metric", ((F.col("low") + F.col("high")) / 2).alias("v"))
+    return of.agg(*[F.max(F.when(F.col("metric") == m, F.col("v"))).alias(m) for m in metrics])
 
 
 def shares(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

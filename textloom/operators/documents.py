@@ -7,7 +7,7 @@ windows and groupings above share.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -69,37 +69,48 @@ def headings(parsed_: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id
 
 def sentence_rows(parsed_: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, carry, ix, s, len, acc: characters before, total: characters of all sentences)."""
-    rows = parsed_.select(key, *carry, F.posexplode("sents").alias("ix", "s")).withColumn("len", F.length("s").cast("long"))
+    return with_sums(parsed_.select(key, *carry, F.posexplode("sents").alias("ix", "s")), key)
+
+
+def with_sums(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """rows (key, ix, s) with len, acc and total."""
+    rows = rows.withColumn("len", F.length("s").cast("long"))
     whole = Window.partitionBy(key)
     before = whole.orderBy("ix").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("acc", F.coalesce(F.sum("len").over(before), F.lit(0))).withColumn("total", F.sum("len").over(whole))
 
 
-def tension_curve(rows: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id") -> DataFrame:
+def tension_curve(rows: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id", keep: str | None = None) -> DataFrame:
     """(key, segment 1..10, sentences, sentence_length_mean, dialogue_ratio, exclaim_question_per_1000,
-    dash_ellipsis_per_1000): ten stretches of equal length; documents without sentences are absent."""
+    dash_ellipsis_per_1000): ten stretches of equal length; documents without sentences are absent.
+    keep: a column that one row of each document has, others null; all ten get it."""
+    kept = [keep] if keep else []
     seg = F.least(F.floor(F.col("acc") / (F.col("total") / SEGMENTS)), F.lit(SEGMENTS - 1)).cast("int") + 1
     cut = rows.withColumn("segment", seg).groupBy(key, "segment").agg(
-        F.count("*").alias("sentences"), F.sum("len").alias("chars"), F.sort_array(F.collect_list(F.struct("ix", "s"))).alias("ss"))
+        F.count("*").alias("sentences"), F.sum("len").alias("chars"), F.sort_array(F.collect_list(F.struct("ix", "s"))).alias("ss"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in kept])
     joined = F.array_join(F.transform("ss", lambda x: x["s"]), "")
     cut = cut.withColumn("t", joined)
-    cut = cut.select(key, "segment", "sentences", (F.col("chars") / F.col("sentences")).alias("sentence_length_mean"),
+    cut = cut.select(key, *kept, "segment", "sentences", (F.col("chars") / F.col("sentences")).alias("sentence_length_mean"),
                      X.per(X.total(F.filter(X.quote_lengths(F.col("t"), profile), lambda q: q <= profile.dialogue_limit)), F.col("chars")).alias("dialogue_ratio"),
                      X.per(X.count_of(F.col("t"), *profile.exclaim, *profile.question), F.col("chars"), 1000).alias("exclaim_question_per_1000"),
                      X.per(X.count_of(F.col("t"), profile.dash, profile.ellipsis), F.col("chars"), 1000).alias("dash_ellipsis_per_1000"))
     # stretches that no sentence begins in: one row a document carries its segments, and opens to ten
     measures = ("sentences", "sentence_length_mean", "dialogue_ratio", "exclaim_question_per_1000", "dash_ellipsis_per_1000")
-    held = cut.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("segment", F.struct(*measures)))).alias("m"))
-    full = held.select(key, "m", F.explode(F.sequence(F.lit(1), F.lit(SEGMENTS))).alias("segment")).withColumn("v", F.try_element_at("m", "segment"))
-    return full.select(key, "segment", F.coalesce("v.sentences", F.lit(0)).cast("long").alias("sentences"), *[F.coalesce(f"v.{m}", F.lit(0.0)).alias(m) for m in measures[1:]])
+    held = cut.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("segment", F.struct(*measures)))).alias("m"), *[F.first(c, ignorenulls=True).alias(c) for c in kept])
+    full = held.select(key, *kept, "m", F.explode(F.sequence(F.lit(1), F.lit(SEGMENTS))).alias("segment")).withColumn("v", F.try_element_at("m", "segment"))
+    return full.select(key, *kept, "segment", F.coalesce("v.sentences", F.lit(0)).cast("long").alias("sentences"), *[F.coalesce(f"v.{m}", F.lit(0.0)).alias(m) for m in measures[1:]])
 
 
 def peaks(curve: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, exclaim_peak_segment, dialogue_peak_segment): first greatest segment, null where all are 0."""
-    def peak(m: str):
-        return F.when(F.max(m) > 0, F.max_by("segment", F.struct(m, -F.col("segment"))))
+    return curve.groupBy(key).agg(*peak_columns())
+
 
-    return curve.groupBy(key).agg(peak("exclaim_question_per_1000").alias("exclaim_peak_segment"), peak("dialogue_ratio").alias("dialogue_peak_segment"))
+def peak_columns() -> list[Column]:
+    """Aggregates over a document's curve."""
+    peak = lambda m: F.when(F.max(m) > 0, F.max_by("segment", F.struct(m, -F.col("segment"))))
+    return [peak("exclaim_question_per_1000").alias("exclaim_peak_segment"), peak("dialogue_ratio").alias("dialogue_peak_segment")]
 
 
 def similes(rows: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id", limit: int | None = 60, carry: tuple[str, ...] = ()) -> DataFrame:

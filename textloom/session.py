@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # texts cost much more to read than files to open
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
 
