@@ -84,12 +84,34 @@ def test_structure_and_claims(spark):
     raw = spark.createDataFrame([("s", "j", BODY, "```json\n" + json.dumps(answer, ensure_ascii=False) + "\n```"), ("s", "k", BODY, "no json")], "story string, judge string, body string, raw string")
     judged = Q.answers(raw)
     row = Q.structure_check(judged, ["story", "judge"]).filter("judge = 'j'").first()
-    assert row.inciting == 0.0 and "承の単位の引用が本文に無い" in row.problems and "結が説明で閉じている" in row.problems and row.turn is not None
+    assert row.inciting == 0.0 and "承の単位のうち 1 件の引用が本文に無い" in row.problems and "結が説明で閉じている" in row.problems and row.turn is not None
     found = {(r.item, r.why): (r.kept, r.info) for r in Q.claims(judged, ["story", "judge"]).collect()}
     assert found == {("3-6", "x"): (True, False), ("3-6", "y"): (False, False), ("3-5", "z"): (False, False), ("3-7", "w"): (True, True)}
     assert {r.judge: r.read for r in Q.read_to_end(judged, ["judge"]).collect()}["j"] is True
 
 
+def test_agreement_and_full_check(spark):
+    end = {"read_to_end": {"last_sentence": "帰り着いて泣いた。"}}
+    turn = {"turns": [{"quote": "朝が来て、彼は", "type": "露見"}], "climax": {"quote": "帰り着いて泣いた。"}, "inciting": {"quote": "朝が来て、彼は金を失った。"}, "knowledge_gap": "有"}
+    wind = lambda *q: {"coincidences": [{"quote": x, "why": "w"} for x in q]}
+    said = {"a": end | {"structure": turn, "craft": wind("風が吹いた。風が", "無い引用の文です")}, "b": end | {"structure": turn, "craft": wind("風が吹いた。風が吹いた。")},
+            "c": {"structure": turn, "craft": wind("風が吹いた。風が")}, "d": end | {"structure": turn | {"knowledge_gap": ""}, "craft": {"similes": [{"quote": "長い道を歩いた", "concrete": True}]}}}
+    raw = spark.createDataFrame([("s", j, BODY + "メロス" * 0, json.dumps(x, ensure_ascii=False)) for j, x in said.items()], "story string, judge string, body string, raw string")
+    judged = Q.answers(raw)
+    rows = Q.agreement(judged, "story", "judge").collect()
+    assert [(r.group, r.item, r.support, r.agreed, r.judges, r.valid) for r in rows] == [
+        ("層2", "転の位置", 3, True, "a, b, d", 3), ("層3", "3-6", 2, True, "a, b", 3), ("層2", "知識差が答えられていない", 1, False, "d", 3)]
+    assert rows[0].text == "転の位置 0.0%（露見: 基準 70〜89%）" and rows[1].text == "3-6 都合のよい展開: 風が吹いた。風が — w"
+    full = {r.judge: r for r in Q.full_check(judged, "story", "judge").collect()}
+    assert {j: r.read for j, r in full.items()} == {"a": True, "b": True, "c": False, "d": True}
+    assert full["a"].layer3 == ["3-6 都合のよい展開"] and full["a"].dropped == 1 and full["d"].simile_count == 1 and full["a"].layer1 == []
+    texts = spark.createDataFrame([("s", "メロスは學校へ行く。"), ("t", BODY), ("u", None)], "story string, body string")
+    targets = spark.createDataFrame([(1000.0, 36.0, 0.6, 0.0, 0.1)], "characters double, sentence_length_mean double, sentence_length_cv double, simile_per_1000 double, dialogue_ratio double")
+    plain = {r.story: r.problems for r in K.text_problems(texts, key="story").collect()}
+    assert plain == {"s": ["正書法が新字新仮名でない", "参照作品の固有名詞「メロス」が出ている"], "t": [], "u": ["正書法が新字新仮名でない"]}
+    assert any(p.startswith("字数 ") for p in {r.story: r.problems for r in K.text_problems(texts, targets, key="story").collect()}["t"])
+
+
 def test_clusters_consensus_pairs(spark):
     turns = spark.createDataFrame([("s", 10.0), ("s", 15.0), ("s", 60.0), ("s", 66.0), ("s", None)], "story string, position double")
     row = Q.adopted_turns(turns, ["story"]).first()

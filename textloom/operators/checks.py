@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..profiles import ADVICE, CHECKS, CORPUS_NAMES, DIALOGUE_TOLERANCE, JAPANESE, MARGIN, NONFICTION, PLOT_BANDS, SECTION_SHARES, Profile
+from ..profiles import ADVICE, CHECKS, CORPUS_NAMES, DIALOGUE_TOLERANCE, JAPANESE, MARGIN, NONFICTION, PLOT_BANDS, SECTION_SHARES, TEXT_PROBLEMS, Profile
 from ..profiles import DOWN, UP
 from . import documents as D
 from .corpus import medians
@@ -91,6 +93,27 @@ def borrowed_names(docs: DataFrame, names: tuple[str, ...] = CORPUS_NAMES, key:
     return docs.select(key, F.explode(found).alias("name"))
 
 
+def text_problems(stories: DataFrame, targets_: DataFrame | None = None, profile: Profile = JAPANESE, key: str = "doc_id", body: str = "body",
+                  plot: str | None = None) -> DataFrame:
+    """(key, problems): what measures say of each text: metrics outside their bands (with targets_, one row),
+    similes in one half only, old spelling, names of known works. The list has at most one entry for a check or name."""
+    own = stories.select(key, *([plot] if plot else []), F.coalesce(body, F.lit("")).alias("_b"))
+    rows = D.sentence_rows(D.parsed(own, profile, key=key, text="_b", headings=False), key)
+    said = lambda problem, **figures: F.concat(*[figures[x] if i % 2 else F.lit(x) for i, x in enumerate(re.split(r"\{(\w+)\}", TEXT_PROBLEMS[problem]))])
+    uneven = simile_balance(rows, profile, key).filter("unbalanced")
+    found = uneven.select(key, F.lit(1).alias("at"), said("similes", front=F.col("front").cast("string"), back=F.col("back").cast("string")).alias("text"))
+    found = found.union(own.filter(X.orthography(F.col("_b"), profile) != profile.orthography["new"]).select(key, F.lit(2), said("orthography")))
+    found = found.union(borrowed_names(own, key=key, text="_b").select(key, F.lit(3), said("name", name=F.col("name"))))
+    if targets_ is not None:
+        carry = (plot,) if plot else ()
+        metrics = story_metrics(own.withColumn("_s", F.concat(F.lit("t\n"), "_b")), profile, key, "_s", carry)
+        figure = lambda c: F.round(c, 2).cast("string")
+        over = violations(metrics, targets_, key, plot)
+        found = found.union(over.select(key, F.lit(0), F.concat("label", F.lit(" "), figure("current"), F.lit(" → 許容 "), figure("low"), F.lit("〜"), figure("high"))))
+    listed = found.groupBy(F.col(key).alias("_k")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]).alias("problems"))
+    return own.select(key).join(listed, F.col(key).eqNullSafe(F.col("_k")), "left").select(key, F.coalesce("problems", F.array().cast("array<string>")).alias("problems"))
+
+
 def unit_count(length: Column) -> Column:
     return F.when(length < 5000, 2).when(length < 9000, 3).otherwise(4)
 

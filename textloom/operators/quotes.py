@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..llm.common import Scratch, numbered
-from ..profiles import BANDS, INFO_ITEMS, JAPANESE, Profile
+from .checks import text_problems
+from ..profiles import BANDS, INFO_ITEMS, JAPANESE, STRUCTURE_PROBLEMS, Profile
 
 ANSWER = """
 read_to_end struct<last_sentence:string>,
@@ -57,19 +59,16 @@ def occurrences(quotes: DataFrame, texts: DataFrame, quote_key: str, text_key: s
     if size <= most:
         hits = t.join(F.broadcast(q), F.contains("t", F.col("q"))).withColumn("at", F.instr("t", F.col("q")))
         return hits.select(F.col("_qk").alias(quote_key), F.col("_tk").alias(text_key), ((F.col("at") - 1) * 100 / F.length("t")).alias("position"))
-    # a number of its own for each text: keys may repeat or be null
-    t = numbered(Scratch(quotes.sparkSession, "occurrences"), t, key="_tk", text="t", out="_row")
-    widths = sorted(r[0] for r in q.select("n").distinct().collect())  # from 4 to width
-    found = None
-    for n in widths:
-        heads = q.filter(F.col("n") == n).withColumn("head", F.left("q", F.lit(n)))
-        pieces = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, F.lit(n))))
-        own = t.filter(F.length("t") >= n).select("_row", F.explode(pieces).alias("head"))
-        pairs = own.join(heads, "head").select("_qk", "_row", "q")
-        found = pairs if found is None else found.union(pairs)
-    if found is None:
-        return quotes.sparkSession.createDataFrame([], f"{quote_key} {quotes.schema[quote_key].dataType.simpleString()}, {text_key} {texts.schema[text_key].dataType.simpleString()}, position double")
-    hits = found.join(t, "_row").withColumn("at", F.instr("t", F.col("q"))).filter("at > 0")
+    # texts meet again by 128 bits of their content, so repeated and null keys do no harm
+    t = t.withColumns({"h1": F.xxhash64("t"), "h2": F.xxhash64(F.lit(1), F.col("t"))})
+    known = q.select("q", "n").distinct()
+    pairs = None
+    for n in range(4, width + 1):
+        heads = known.filter(F.col("n") == n).select("q", F.left("q", F.lit(n)).alias("head"))
+        pieces = F.array_distinct(F.regexp_extract_all("t", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+        own = t.select("h1", "h2", F.explode(pieces).alias("head")).join(heads, "head").select("h1", "h2", "q").distinct()
+        pairs = own if pairs is None else pairs.union(own)
+    hits = t.join(pairs, ["h1", "h2"]).withColumn("at", F.instr("t", F.col("q"))).filter("at > 0").join(q.select("_qk", "q"), "q")
     return hits.select(F.col("_qk").alias(quote_key), F.col("_tk").alias(text_key), ((F.col("at") - 1) * 100 / F.length("t")).alias("position"))
 
 
@@ -107,16 +106,26 @@ def structure_check(judged: DataFrame, key: list[str], body: str = "body", plot:
     kind = F.coalesce(F.col(plot), s["development_type"]) if plot else s["development_type"]
     repeats = F.coalesce(kind == "反復", F.lit(False))
     asked_turns = F.when(s["turns"].isNull(), 0).otherwise(F.size(s["turns"]))
-    problem = lambda test, text: F.when(test, F.lit(text))
+    rounded = lambda c: F.round(c, 1).cast("string")
+    said = {"inciting": rounded(F.col("inciting")), "missing": (asked - k).cast("string"), "units": k.cast("string"), "turn": rounded(F.col("turn")),
+            "climax": rounded(F.col("climax")), "tail": rounded(F.col("tail")), "length": F.format_number(n, 0), "wanted": F.when(n < 5000, "2〜3").otherwise("3〜4"),
+            "kind": F.coalesce(F.get(F.filter("turns", lambda t: t["at"] == F.col("turn")), F.lit(0))["type"], F.lit("None"))}
+
+    def problem(test: Column, name: str) -> Column:
+        """The wording of a problem, with its figures in their places."""
+        parts = re.split(r"\{(\w+)\}", STRUCTURE_PROBLEMS[name])
+        return F.when(test, F.concat(*[said[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)]))
+
     low, high = BANDS["climax"]
     problems = F.array(
-        problem(F.col("inciting").isNull(), "発端の引用が本文に無い"), problem(F.col("inciting") > BANDS["inciting_late"], "発端が遅い"),
-        problem((F.col("inciting") > BANDS["inciting_max"]) & (F.col("inciting") <= BANDS["inciting_late"]), "発端がやや遅い"),
-        problem(asked > k, "承の単位の引用が本文に無い"), problem(repeats & ~wanted, "反復の単位数"), problem(repeats & (F.coalesce(s["direction"], F.lit("")) == ""), "反復に方向が答えられていない"),
-        problem(F.size("turns") < asked_turns, "転の引用が本文に無い"), problem(F.size("turns") == 0, "転が答えられていない"),
-        problem(~F.col("turn").between(*BANDS["turn"]), "転の位置"), problem(F.col("climax").isNull(), "山の引用が本文に無い"),
-        problem(~F.col("climax").between(low, high), "山の位置"), problem(F.col("tail") > BANDS["ending_max"], "山から末尾まで"),
-        problem(s["ending"]["type"] == "説明", "結が説明で閉じている"), problem(F.coalesce(s["knowledge_gap"], F.lit("")) == "", "知識差が答えられていない"))
+        problem(F.col("inciting").isNull(), "no_inciting"), problem(F.col("inciting") > BANDS["inciting_late"], "late_inciting"),
+        problem((F.col("inciting") > BANDS["inciting_max"]) & (F.col("inciting") <= BANDS["inciting_late"]), "rather_late_inciting"),
+        problem(asked > k, "no_units"), problem(repeats & ~wanted, "number_of_units"),
+        problem(repeats & (F.coalesce(s["direction"], F.lit("")) == ""), "no_direction"),
+        problem(F.size("turns") < asked_turns, "no_turn_quote"), problem(F.size("turns") == 0, "no_turn"),
+        problem(~F.col("turn").between(*BANDS["turn"]), "turn"), problem(F.col("climax").isNull(), "no_climax"),
+        problem(~F.col("climax").between(low, high), "climax"), problem(F.round("tail", 1) > BANDS["ending_max"], "tail"),
+        problem(s["ending"]["type"] == "説明", "explained_ending"), problem(F.coalesce(s["knowledge_gap"], F.lit("")) == "", "no_gap"))
     return out.select(*key, "inciting", "deadline", "units", "turns", "turn", "climax", "tail", F.array_compact(problems).alias("problems"))
 
 
@@ -162,6 +171,54 @@ def consensus(findings: DataFrame, story: str, judge: str, item: str = "item", p
         F.min_by(text, judge).alias("text"))
 
 
+def full_check(judged: DataFrame, story: str, judge: str, body: str = "body", targets: DataFrame | None = None, plot: str | None = None,
+               profile: Profile = JAPANESE) -> DataFrame:
+    """(story, judge, read, layer1, layer2, layer3, info, dropped, simile_count, explicitness): one row for each answer.
+
+    layer1: what measures say of the text; layer2: structure against the bands; layer3: claims whose quotes are
+    in the text, info: those for information only, dropped: how many have no quote there.
+    """
+    key = [story, judge]
+    texts = judged.dropDuplicates([story]).select(story, F.col(body).alias("_body"), *([plot] if plot else []))
+    first = text_problems(texts, targets, profile, story, "_body", plot).withColumnRenamed("problems", "layer1")
+    second = structure_check(judged, key, body, plot).select(*key, F.col("problems").alias("layer2"))
+    own = claims(judged, key, body)
+    some = lambda test: F.transform(F.array_sort(F.filter("all", test)), lambda x: F.concat_ws(" ", x["item"], x["label"]))
+    third = own.groupBy(*key).agg(F.collect_list(F.struct("item", "position", "label", "kept", "info")).alias("all")).select(
+        *key, some(lambda x: x["kept"] & ~x["info"]).alias("layer3"), some(lambda x: x["kept"] & x["info"]).alias("info"),
+        F.size(F.filter("all", lambda x: ~x["kept"])).alias("dropped"))
+    verified = F.filter("answer.craft.similes", lambda x: X.locate(F.col(body), x["quote"]).isNotNull())
+    last = judged.select(*key, F.greatest(F.size(verified), F.lit(0)).alias("simile_count"), F.col("answer.craft.turn_stated_by_character.degree").alias("explicitness"))
+    out = read_to_end(judged, key, body, profile).join(first, story).join(second, key).join(third, key, "left").join(last, key)
+    none = F.array().cast("array<string>")
+    return out.select(*key, F.coalesce("read", F.lit(False)).alias("read"), "layer1", "layer2", F.coalesce("layer3", none).alias("layer3"), F.coalesce("info", none).alias("info"),
+                      F.coalesce("dropped", F.lit(0)).alias("dropped"), "simile_count", "explicitness")
+
+
+def agreement(judged: DataFrame, story: str, judge: str, body: str = "body", plot: str | None = None) -> DataFrame:
+    """(story, valid, group, item, place, support, agreed, judges, text): what the judges of a story found, together.
+
+    Judges who did not read to the end don't count; valid is the number of the others. Problems of structure
+    meet by the words before their figures (group 層2), claims by item and paragraph; items that are for
+    information only are left out. Rows of a story are in the order of support, most first, then group, item and place.
+    """
+    key = [story, judge]
+    read = read_to_end(judged, key, body).filter("read").select(*key)
+    valid = read.groupBy(story).agg(F.countDistinct(judge).alias("valid"))
+    problems = structure_check(judged, key, body, plot).select(*key, F.explode("problems").alias("text"))
+    label = F.split("text", "[:：（ ]")
+    structural = problems.select(*key, F.lit("層2").alias("group"), F.get(label, F.lit(0)).alias("item"), F.lit(None).cast("int").alias("place"), "text")
+    quote = F.concat(F.left("quote", F.lit(SHOWN)), F.when(F.length("quote") > SHOWN, "…").otherwise(""))
+    worded = F.concat("item", F.lit(" "), "label", F.lit(": "), quote, F.when(F.col("why") != "", F.concat(F.lit(" — "), "why")).otherwise(""))
+    craft = claims(judged, key, body).filter("kept and not info").select(*key, F.lit("層3").alias("group"), "item", F.col("paragraph").alias("place"), worded.alias("text"))
+    found = structural.union(craft).join(read, key, "left_semi")
+    groups = found.groupBy(story, "group", "item", "place").agg(
+        F.count("*").alias("support"), F.array_join(F.array_sort(F.collect_list(F.col(judge).cast("string"))), ", ").alias("judges"),
+        F.min_by("text", F.struct(judge, "text")).alias("text"))
+    out = groups.join(valid, story).select(story, "valid", "group", "item", "place", "support", (F.col("support") >= 2).alias("agreed"), "judges", "text")
+    return out.orderBy(story, F.desc("support"), "group", "item", "place")
+
+
 def blinded(pairs: DataFrame, seed: int | Column, first: str = "a", second: str = "b") -> DataFrame:
     """pairs with A and B in place of the two, in an order that a hash of the seed and the pair decides."""
     keep = F.pmod(F.xxhash64(F.lit(seed) if isinstance(seed, int) else seed, F.col(first), F.col(second)), F.lit(2)) == 0

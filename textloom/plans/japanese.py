@@ -3,14 +3,18 @@ the SQL holds as well, so these queries read no table."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import chapters as C
+from ..operators import checks as K
 from ..operators import corpus as S
 from ..operators import documents as D
-from ..profiles import JAPANESE
+from ..operators import quotes as Q
+from ..profiles import CORPUS_NAMES, JAPANESE
 from . import oracle
 
 #: As in the queries over the driver's tables.
@@ -108,7 +112,38 @@ def ja_heading_marks(spark, d):
     return marked.select("doc_id", X.without_heading_marks(F.col("t")).alias("title"), X.short_slug(F.col("t")).alias("short"), X.safe_name(F.col("t")).alias("safe"))
 
 
-NAMES = ("ja_basic_stats", "ja_headings", "ja_sentences", "ja_tension_curve", "ja_peaks", "ja_similes", "ja_reduplications", "ja_vocabulary", "ja_openings_closings",
+#: Answers of three judges on the first work; the last did not read to the end.
+_TURN = {"turns": [{"quote": "まるで小さな獣のように走る音", "type": "露見"}], "climax": {"quote": "学校の門は閉じていた。"}, "inciting": {"quote": "朝から雨が降っていた。"}}
+_END = {"read_to_end": {"last_sentence": "（大正四年九月）"}}
+ANSWERS = (
+    ("イ", {**_END, "structure": {**_TURN, "knowledge_gap": "有"}, "craft": {"coincidences": [{"quote": "先生に会った。先生は笑った", "why": "偶然"}, {"quote": "どこにも無い引用", "why": "無"}]}}),
+    ("ロ", {**_END, "structure": _TURN, "craft": {"coincidences": [{"quote": "先生に会った。", "why": "偶然"}], "telegraphed": [{"quote": "灯が見える", "why": "早い"}]}}),
+    ("ハ", {"structure": _TURN, "craft": {"coincidences": [{"quote": "先生に会った。", "why": "偶然"}]}}),
+)
+
+
+def _judged(spark) -> DataFrame:
+    raw = spark.createDataFrame([(1, j, "前置き\n```json\n" + json.dumps(a, ensure_ascii=False) + "\n```") for j, a in ANSWERS], "doc_id long, judge string, raw string")
+    return Q.answers(raw).join(works(spark).select("doc_id", F.col("text").alias("body")), "doc_id")
+
+
+def ja_agreement(spark, d):
+    """What the judges who read to the end found together."""
+    return Q.agreement(_judged(spark), "doc_id", "judge")
+
+
+def ja_full_check(spark, d):
+    """All checks of each answer."""
+    out = Q.full_check(_judged(spark), "doc_id", "judge")
+    return out.select("doc_id", "judge", "read", *[F.array_join(c, "|").alias(c) for c in ("layer1", "layer2", "layer3", "info")], "dropped", "simile_count", "explicitness")
+
+
+def ja_text_problems(spark, d):
+    """What measures say of each text."""
+    return K.text_problems(works(spark), body="text").select("doc_id", F.array_join("problems", "|").alias("problems"))
+
+
+NAMES = ("ja_agreement", "ja_full_check", "ja_text_problems", "ja_basic_stats", "ja_headings", "ja_sentences", "ja_tension_curve", "ja_peaks", "ja_similes", "ja_reduplications", "ja_vocabulary", "ja_openings_closings",
          "ja_repetitions", "ja_sample_measures", "ja_quantiles", "ja_reduplication_catalog", "ja_chapters", "ja_heading_marks")
 
 
@@ -123,6 +158,16 @@ def oracle_sql() -> dict[str, str]:
     whole = oracle.profile_sql(shared, JAPANESE)
     documents = f"WITH documents AS (SELECT * FROM (VALUES {rows}) v(doc_id, source, lang, text)), "
     out = {name: documents + sql.removeprefix("WITH ") for name, sql in whole.items()}
+    story = shared["base"].replace("WHERE NOT h)", ")")  # no line of a story is a heading
+    names = ", ".join(f"({oracle._q(n)})" for n in CORPUS_NAMES)
+    old = JAPANESE.old_letters + JAPANESE.old_kana
+    out["ja_text_problems"] = documents + story.strip() + f""",
+fb AS (SELECT doc_id, count(*) FILTER (WHERE acc / total < 0.5) AS front, count(*) FILTER (WHERE acc / total >= 0.5) AS back FROM sa WHERE {shared['marked']} GROUP BY doc_id),
+pb AS (SELECT doc_id, 1 AS k, '直喩が偏っている: 前半 ' || front || ' / 後半 ' || back AS t FROM fb WHERE front + back >= 3 AND NOT ((front + 0.5::DOUBLE) / (back + 0.5::DOUBLE) BETWEEN 0.5 AND 2.0)
+       UNION ALL SELECT doc_id, 2, '正書法が新字新仮名でない' FROM documents
+       WHERE text = '' OR (length(text) - length(regexp_replace(text, '[{old}]', '', 'g'))) * 1000 / length(text) >= 0.3
+       UNION ALL SELECT doc_id, 3, '参照作品の固有名詞「' || name || '」が出ている' FROM documents, (VALUES {names}) v(name) WHERE contains(text, name))
+SELECT d.doc_id, coalesce(string_agg(t, '|' ORDER BY k, t), '') AS problems FROM documents d LEFT JOIN pb ON d.doc_id = pb.doc_id GROUP BY d.doc_id"""
     out["ja_heading_marks"] = documents + """m AS (SELECT doc_id, '## 　' || source || '/ ' || lang || ' の話' AS t FROM documents)
 SELECT doc_id, ltrim(t, '# 　') AS title, left(regexp_replace(t, '[\\\\/:*?"<>|\\s　]', '', 'g'), 24) AS short, replace(replace(t, '/', '_'), ' ', '_') AS safe FROM m"""
     return out

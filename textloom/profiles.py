@@ -119,6 +119,29 @@ MARGIN = 0.05
 UP, DOWN = "上げる", "下げる"
 SECTION_SHARES = (("発端", 0.10), ("承", 0.70), ("転", 0.12), ("結", 0.05))
 INFO_ITEMS = ("3-7",)
+#: What is said of a structure outside the bands; names in braces stand for figures.
+STRUCTURE_PROBLEMS = {
+    "no_inciting": "発端の引用が本文に無い",
+    "late_inciting": "発端が遅い: {inciting}%（基準 15% 以内）",
+    "rather_late_inciting": "発端がやや遅い: {inciting}%（基準 15% 以内。境界）",
+    "no_units": "承の単位のうち {missing} 件の引用が本文に無い",
+    "number_of_units": "反復の単位数 {units}（{length}字なら {wanted}）",
+    "no_direction": "反復に方向が答えられていない",
+    "no_turn_quote": "転の引用が本文に無い",
+    "no_turn": "転が答えられていない",
+    "turn": "転の位置 {turn}%（{kind}: 基準 70〜89%）",
+    "no_climax": "山の引用が本文に無い",
+    "climax": "山の位置 {climax}%（基準 85〜97%）",
+    "tail": "山から末尾まで {tail}%（基準 9% 以内）",
+    "explained_ending": "結が説明で閉じている",
+    "no_gap": "知識差が答えられていない",
+}
+#: What is said of a text by its measures.
+TEXT_PROBLEMS = {
+    "similes": "直喩が偏っている: 前半 {front} / 後半 {back}",
+    "orthography": "正書法が新字新仮名でない",
+    "name": "参照作品の固有名詞「{name}」が出ている",
+}
 NONFICTION = ("56823",)
 PROFILE_METRICS = ("sentence_length_mean", "sentence_length_stdev", "dialogue_ratio", "kanji_ratio", "comma_per_sentence", "dash_per_1000",
                    "ellipsis_per_1000", "exclaim_per_1000")
