@@ -46,6 +46,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.held: set[str] = set()
 
     def save(self, df: DataFrame, *done: DataFrame) -> DataFrame:
         """Write and reread; then delete the saved tables `done`, which no later step reads."""
@@ -56,15 +57,26 @@ class Scratch:
             df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(schema).parquet(path)
         out._scratch = path
+        self.held.add(path)
         for old in done:
             self.drop(old)
         return out
 
     def drop(self, df: DataFrame) -> None:
         """Delete a saved table that no later step reads."""
+        self._delete(df._scratch)
+
+    def only(self, *kept: DataFrame | None) -> None:
+        """Delete all saved tables but these; frames that are no saved tables are passed over."""
+        names = {df.__dict__.get("_scratch") for df in kept if df is not None}
+        for path in self.held - names:
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        self.held.discard(path)
 
 
 def ranked(df: DataFrame, group: list[str], order: list[Column], salt: Column, out: str,

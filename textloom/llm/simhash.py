@@ -158,6 +158,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     lowest = tied.groupBy("root").agg(F.min("least").alias("component"))
     # a table of its own, so that Spark can split the join where a fingerprint has many documents
     named = scratch.save(tied.join(lowest, "root").select(F.col("fp").alias("fp_"), "component"))
+    scratch.only(marked, named)
     return marked.join(named, marked["fp"] == named["fp_"]).select(key, "fp", "component")
 
 
