@@ -137,3 +137,13 @@ def test_sample_counts_what_it_scans(spark):
     assert chosen.count() == 50 and 50 <= scanned.first().scanned <= 200
     chosen, scanned = S.sample(rows, F.col("v") == 0, 5000)
     assert chosen.count() == 500 and scanned.first().scanned == 1000
+
+
+def test_rounding_leaves_maps_out(spark):
+    rows = spark.sql("select 1 as n, 0.0625D as x, 2.71828D as y, cast(null as double) as z, map('a', 1) as m")
+    assert S.rounded(rows).first().asDict() == {"n": 1, "x": 0.062, "y": 2.718, "z": None}
+
+
+def test_violated_metrics_are_a_set(spark):
+    rows = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (None, "a")], "doc_id long, metric string")
+    assert {r.doc_id: r.metrics for r in K.violated(rows).collect()} == {1: ["a", "b"], None: ["a"]}

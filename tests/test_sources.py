@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from textloom.plans import reports
@@ -57,3 +59,24 @@ def test_stream_of_documents(spark, tmp_path):
         T.store(T.statistics(T.arriving(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("doc_id", "sentences", F.col("exclaim_per_1000")).collect()
     assert [tuple(r) for r in got] == [(1, 2, 250.0)]
+
+
+def test_texts_meet_the_works_of_their_folders(spark, tmp_path):
+    for folder in ("127_rashomon", "127", "1270_x", "9_y"):
+        (tmp_path / "lib" / "p" / folder).mkdir(parents=True)
+        (tmp_path / "lib" / "p" / folder / "plain.txt").write_text(folder, encoding="utf-8")
+    root = str(tmp_path / "lib")
+    assert sorted(r.raw for r in R.raw_texts(spark, R.work_files(root, "plain.txt", "127")).collect()) == ["127", "127_rashomon"]
+    with pytest.raises(ValueError):
+        R.work_files(root, "plain.txt", "*")
+    meta = spark.createDataFrame([("127", "羅生門", "m"), ("9", "y", "m"), ("8", "none", "m"), (None, "null", "m")], "work_id string, title string, raw string")
+    got = R.with_meta(R.raw_texts(spark, R.work_files(root, "plain.txt")), meta).collect()
+    assert sorted((r.raw, r.title) for r in got) == [("127", "羅生門"), ("127_rashomon", "羅生門"), ("9_y", "y")]
+
+
+def test_orders_of_analyses(spark, tmp_path):
+    for folder, author, chars, length in (("000002", "a", 5, 9.0), ("000001", "b", 7, 3.0)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "1.json").write_text(json.dumps({"author": author, "stats": {"characters": chars, "sentence_length_mean": length}}), encoding="utf-8")
+    first = lambda order: R.analyses(spark, str(tmp_path / "*" / "*.json"), order).first().author
+    assert [first(o) for o in ("author", "path", "longest", "shortest sentences")] == ["a", "b", "b", "b"]

@@ -67,6 +67,11 @@ def violations(metrics: DataFrame, targets_: DataFrame, key: str = "doc_id", plo
     return out.withColumn("marginal", over <= MARGIN).withColumn("direction", F.when(F.col("current") < F.col("low"), UP).otherwise(DOWN))
 
 
+def violated(violations_: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, metrics): the names of a text's metrics outside their bands, sorted; there are few metrics, so lists are short."""
+    return violations_.groupBy(key).agg(F.sort_array(F.collect_set("metric")).alias("metrics"))
+
+
 def advice(violations_: DataFrame) -> DataFrame:
     """Violations with what to do about each; the table of advice has a fixed size."""
     table = violations_.sparkSession.createDataFrame(list(ADVICE), "metric string, direction string, advice string")
@@ -141,3 +146,15 @@ def fitted_lengths(chapters: DataFrame, length: Column, key: str = "doc_id") ->
     each = length / F.count("*").over(group)
     raw = F.least(F.greatest(F.coalesce(F.nullif(F.col("chars"), F.lit(0)).cast("double"), each), each * 0.65), each * 1.35)
     return chapters.withColumn("_raw", raw).withColumn("chars", (F.bround(F.col("_raw") * length / F.sum("_raw").over(group) / 10) * 10).cast("long")).drop("_raw")
+
+
+def planned_outline(outline: DataFrame, key: str = "doc_id", length: str = "length") -> DataFrame:
+    """outline (key, length, at from 0, name, chars, more) with the name and size that the plan for its length gives the
+    section at each place, and fits: whether it has as many sections as the plan. Sections beyond the plan stay as they are."""
+    plan = section_plan(outline.select(F.col(length).alias("_l")).filter("_l is not null").distinct(), "_l")
+    plan = plan.withColumnsRenamed({"at": "_at", "name": "_name", "chars": "_chars"}).withColumn("_size", F.count("*").over(Window.partitionBy("_l")))
+    sizes = plan.select("_l", "_size").distinct().toDF("_ls", "_size")
+    own = outline.withColumn("_n", F.count("*").over(Window.partitionBy(key, length))).join(sizes, F.col(length) == F.col("_ls"), "left")
+    both = own.join(plan.drop("_size"), (F.col(length) == F.col("_l")) & (F.col("at") == F.col("_at")), "left")
+    given = {"name": F.coalesce("_name", "name"), "chars": F.coalesce("_chars", F.col("chars").cast("long"))}
+    return both.select(*[given[c].alias(c) if c in given else F.col(c) for c in outline.columns], (F.col("_n").eqNullSafe(F.col("_size"))).alias("fits"))

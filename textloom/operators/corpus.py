@@ -186,3 +186,10 @@ def simile_catalog(similes: DataFrame, size: int = 25, seed: int = 1, key: str =
     sizes = rows.groupBy("marker").agg(F.count("*").alias("size"))
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("marker").orderBy(F.xxhash64(F.lit(seed), F.col(key), F.col("ix")), key, "ix")))
     return ranked.filter(F.col("rank") <= size).join(sizes, "marker")
+
+
+def rounded(rows: DataFrame, digits: int = 3) -> DataFrame:
+    """rows as they are stored: fractions rounded, ties to the even digit, and without columns of maps."""
+    kinds = {f.name: f.dataType.typeName() for f in rows.schema}
+    own = [F.bround(c, digits).alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in rows.columns if kinds[c] != "map"]
+    return rows.select(*own)

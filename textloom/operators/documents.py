@@ -67,6 +67,13 @@ def headings(parsed_: DataFrame, profile: Profile = JAPANESE, key: str = "doc_id
         key, F.col("of").alias("index"), "label", "characters")
 
 
+def chapter_sizes(headings_: DataFrame, key: str = "doc_id", least: int = 3) -> DataFrame:
+    """(key, chapters, shortest, longest, spark) of documents with `least` headings or more: the sizes of what follows each."""
+    sizes = F.transform(F.sort_array(F.collect_list(F.struct("index", "characters"))), lambda x: x["characters"].cast("double"))
+    held = headings_.groupBy(key).agg(F.count("*").alias("chapters"), F.min("characters").alias("shortest"), F.max("characters").alias("longest"), sizes.alias("_sizes"))
+    return held.filter(F.col("chapters") >= least).select(key, "chapters", "shortest", "longest", X.sparkline(F.col("_sizes")).alias("spark"))
+
+
 def sentence_rows(parsed_: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, carry, ix, s, len, acc: characters before, total: characters of all sentences)."""
     return with_sums(parsed_.select(key, *carry, F.posexplode("sents").alias("ix", "s")), key)

@@ -14,12 +14,15 @@ from ..operators import checks as K
 from ..operators import corpus as S
 from ..operators import documents as D
 from ..operators import quotes as Q
-from ..profiles import CORPUS_NAMES, JAPANESE
+from ..profiles import CORPUS_NAMES, JAPANESE, SPARK
 from . import oracle
 
 #: As in the queries over the driver's tables.
 LIMITS = {"min_chars": 300, "max_chars": 300_000, "min_sentences": 5, "max_mean_length": 400}
 
+#: Fractions of the statistics that are rounded.
+ROUNDED = ("sentence_length_mean", "dialogue_ratio", "kanji_ratio", "comma_per_sentence", "simile_per_1000")
+
 _RAIN = ("　朝から雨が降っていた。雨が降ると庭の石は黒くなる。雨が降る日に限って兄は遅く帰った。雨が降らぬ日は早かった。\n"
          "「まだ帰らないの？」と妹が訊いた。「帰らないよ！」\n　屋根の上をころころと雨粒が走り、樋の中でごぼごぼと鳴った。まるで小さな獣のように走る音である。\n")
 _ROAD = ("　道は白かった……。人影は一つもない。\n『遠いね』\n　彼の声は遠くの鐘のようだった。日が暮れたように思われる。道の先に灯が見えるようになった。あたかも星が地に落ちたごとくである。\n"
@@ -55,6 +58,15 @@ def ja_headings(spark, d):
     return D.headings(_parsed(spark), JAPANESE)
 
 
+def ja_chapter_sizes(spark, d):
+    """Works with three headings or more."""
+    return D.chapter_sizes(ja_headings(spark, d))
+
+
+def ja_rounded_stats(spark, d):
+    return S.rounded(ja_basic_stats(spark, d).select("doc_id", *ROUNDED))
+
+
 def ja_sentences(spark, d):
     return D.sentence_rows(_parsed(spark)).withColumn("position", F.col("acc") / F.col("total"))
 
@@ -112,6 +124,16 @@ def ja_heading_marks(spark, d):
     return marked.select("doc_id", X.without_heading_marks(F.col("t")).alias("title"), X.short_slug(F.col("t")).alias("short"), X.safe_name(F.col("t")).alias("safe"))
 
 
+#: Outlines of two lengths, one with a section too few: (doc_id, length, at, name, chars).
+OUTLINES = ((1, 4000, 0, "起", 1), (1, 4000, 1, "承前", 2), (1, 4000, 2, "承後", 3), (1, 4000, 3, "転", 4), (1, 4000, 4, "結末", 5),
+            (2, 9500, 0, "始", 900), (2, 9500, 1, "中", 800), (2, 9500, 2, "終", 700))
+
+
+def ja_outlines(spark, d):
+    """Outlines with the names and sizes of their plans."""
+    return K.planned_outline(spark.createDataFrame(list(OUTLINES), "doc_id long, length long, at int, name string, chars long"))
+
+
 #: Answers of three judges on the first work; the last did not read to the end.
 _TURN = {"turns": [{"quote": "まるで小さな獣のように走る音", "type": "露見"}], "climax": {"quote": "学校の門は閉じていた。"}, "inciting": {"quote": "朝から雨が降っていた。"}}
 _END = {"read_to_end": {"last_sentence": "（大正四年九月）"}}
@@ -143,7 +165,7 @@ def ja_text_problems(spark, d):
     return K.text_problems(works(spark), body="text").select("doc_id", F.array_join("problems", "|").alias("problems"))
 
 
-NAMES = ("ja_agreement", "ja_full_check", "ja_text_problems", "ja_basic_stats", "ja_headings", "ja_sentences", "ja_tension_curve", "ja_peaks", "ja_similes", "ja_reduplications", "ja_vocabulary", "ja_openings_closings",
+NAMES = ("ja_chapter_sizes", "ja_rounded_stats", "ja_outlines", "ja_agreement", "ja_full_check", "ja_text_problems", "ja_basic_stats", "ja_headings", "ja_sentences", "ja_tension_curve", "ja_peaks", "ja_similes", "ja_reduplications", "ja_vocabulary", "ja_openings_closings",
          "ja_repetitions", "ja_sample_measures", "ja_quantiles", "ja_reduplication_catalog", "ja_chapters", "ja_heading_marks")
 
 
@@ -170,4 +192,14 @@ pb AS (SELECT doc_id, 1 AS k, '直喩が偏っている: 前半 ' || front || '
 SELECT d.doc_id, coalesce(string_agg(t, '|' ORDER BY k, t), '') AS problems FROM documents d LEFT JOIN pb ON d.doc_id = pb.doc_id GROUP BY d.doc_id"""
     out["ja_heading_marks"] = documents + """m AS (SELECT doc_id, '## 　' || source || '/ ' || lang || ' の話' AS t FROM documents)
 SELECT doc_id, ltrim(t, '# 　') AS title, left(regexp_replace(t, '[\\\\/:*?"<>|\\s　]', '', 'g'), 24) AS short, replace(replace(t, '/', '_'), ' ', '_') AS safe FROM m"""
+    out["ja_chapter_sizes"] = f"""WITH h AS ({out['ja_headings']}),
+z AS (SELECT *, count(*) OVER w AS n, min(characters) OVER w AS lo, max(characters) OVER w AS hi FROM h WINDOW w AS (PARTITION BY doc_id))
+SELECT doc_id, any_value(n) AS chapters, any_value(lo) AS shortest, any_value(hi) AS longest, string_agg(CASE WHEN hi = lo THEN '{SPARK[0]}'
+       ELSE substr('{SPARK}', least(floor((characters - lo) / (hi - lo) * 7), 7)::INTEGER + 1, 1) END, '' ORDER BY index) AS spark FROM z WHERE n >= 3 GROUP BY doc_id"""
+    out["ja_rounded_stats"] = f"SELECT doc_id, {', '.join(f'round_even({c}, 3) AS {c}' for c in ROUNDED)} FROM ({out['ja_basic_stats']})"
+    rows = ", ".join(f"({i}::BIGINT, {n}::BIGINT, {at}::INTEGER, {oracle._q(name)}, {chars}::BIGINT)" for i, n, at, name, chars in OUTLINES)
+    plans = oracle.oracle_sql()["section_plans"].replace("FROM documents", "FROM o")
+    out["ja_outlines"] = f"""WITH o AS (SELECT *, length AS n_chars FROM (VALUES {rows}) v(doc_id, length, "at", name, chars)), p AS ({plans})
+SELECT doc_id, o.length, o."at", coalesce(p.name, o.name) AS name, coalesce(p.chars, o.chars) AS chars,
+       count(*) OVER (PARTITION BY doc_id) = (SELECT count(*) FROM p q WHERE q.length = o.length) AS fits FROM o LEFT JOIN p ON o.length = p.length AND p."at" = o."at" """
     return out

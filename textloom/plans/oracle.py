@@ -270,7 +270,7 @@ FROM (SELECT * FROM ro WHERE rank <= 40) r JOIN documents USING (doc_id) GROUP B
 
 def oracle_sql() -> dict[str, str]:
     spark_step = f"CASE WHEN hi - lo < 1e-9 THEN {_q(SPARK[0])} ELSE substr({_q(SPARK)}, least(floor((sentences - lo) / (hi - lo) * 7), 7)::INTEGER + 1, 1) END"
-    return document_sql(_LATIN, LATIN) | {
+    out = document_sql(_LATIN, LATIN) | {
         "doc_sparklines": _with(_BASE, _CURVE, "mx AS (SELECT *, min(sentences) OVER (PARTITION BY doc_id) AS lo, max(sentences) OVER (PARTITION BY doc_id) AS hi FROM cu)") +
             f" SELECT doc_id, string_agg({spark_step}, '' ORDER BY segment) AS spark FROM mx GROUP BY doc_id",
         "corpus_quantiles_by_era": _with(*_ALL) + " " + _quantiles("lang", 30),
@@ -355,3 +355,5 @@ WITH r AS (SELECT conv_id, turn, 20000.0::DOUBLE / count(*) OVER (PARTITION BY c
 w AS (SELECT *, least(greatest(coalesce(c, e), e * 0.65::DOUBLE), e * 1.35::DOUBLE) AS raw FROM r)
 SELECT conv_id, turn, (round_even(raw * 20000.0::DOUBLE / sum(raw) OVER (PARTITION BY conv_id) / 10, 0) * 10)::BIGINT AS chars FROM w""",
     }
+    out["violated_metrics"] = f"SELECT doc_id, string_agg(DISTINCT metric, ',' ORDER BY metric) AS metrics FROM ({out['band_violations']}) GROUP BY doc_id"
+    return out

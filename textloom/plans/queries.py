@@ -158,6 +158,10 @@ def simile_balance(spark, d):
     return K.simile_balance(D.sentence_rows(_parsed(spark, d)), LATIN)
 
 
+def violated_metrics(spark, d):
+    return K.violated(band_violations(spark, d)).withColumn("metrics", F.array_join("metrics", ","))
+
+
 def section_plans(spark, d):
     return K.section_plan(_docs(spark, d).select(F.col("n_chars").alias("length")).distinct())
 
@@ -288,7 +292,7 @@ NAMES = (
     "corpus_marker_shares", "corpus_sample", "author_profiles", "author_index", "author_summaries", "word_catalog", "author_words", "simile_catalog", "story_metrics",
     "style_targets", "band_violations", "simile_balance", "section_plans", "quote_occurrences", "quote_paragraphs", "chapter_measures", "novel_summaries",
     "document_chapters", "event_gap_clusters", "turn_clusters", "finding_consensus", "pair_checks", "pair_blinding", "cleaned_works", "corpus_eras", "kanji_numbers",
-    "catalog_lookup", "best_drafts", "fitted_chapters",
+    "catalog_lookup", "best_drafts", "fitted_chapters", "violated_metrics",
 )
 
 

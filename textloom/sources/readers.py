@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -114,10 +115,35 @@ def meta(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(META).option("multiLine", "true").json(path)
 
 
-def analyses(spark: SparkSession, path: str) -> DataFrame:
-    """Analyses in folders that are named by digits, by author and title."""
-    found = spark.read.schema(ANALYSIS).option("multiLine", "true").json(path).withColumn("_f", F.element_at(F.split(F.input_file_name(), "/"), -2))
-    return found.filter(F.col("_f").rlike(r"^\d+$")).drop("_f").orderBy("author", "title")
+def work_files(root: str, name: str, work_id: str | None = None) -> str:
+    """The path of a file in all folders root/<person>/<work>, or in those of one work, whose names are its id or begin
+    with it and an underscore; others are not listed at all."""
+    if work_id is not None and not re.fullmatch(r"\w[^_/*?{}\[\],\\]*", work_id):
+        raise ValueError(f"no work id: {work_id!r}")
+    return f"{root.rstrip('/')}/*/{'*' if work_id is None else f'{{{work_id},{work_id}_*}}'}/{name}"
+
+
+def with_meta(texts: DataFrame, meta_: DataFrame, key: str = "work_id") -> DataFrame:
+    """texts (path, more) with the fields of the work in whose folder each lies; those without, and works without texts, are left out.
+    Fields that texts have too are the texts'."""
+    folder = F.regexp_extract("path", r"([^/_]+)[^/]*/[^/]+$", 1)
+    fields = [c for c in meta_.columns if c not in texts.columns]
+    return texts.withColumn("_work", folder).join(meta_.select(F.col(key).alias("_id"), *fields), F.col("_work") == F.col("_id")).drop("_work", "_id")
+
+
+#: Orders of works, as SQL over analyses.
+ORDERS = {
+    "author": ("author", "title"),
+    "path": ("_path",),
+    "longest": ("-stats.characters", "author", "title"),
+    "shortest sentences": ("stats.sentence_length_mean", "author", "title"),
+}
+
+
+def analyses(spark: SparkSession, path: str, order: str = "author") -> DataFrame:
+    """Analyses in folders that are named by digits, in one of ORDERS."""
+    found = spark.read.schema(ANALYSIS).option("multiLine", "true").json(path).withColumn("_path", F.input_file_name())
+    return found.filter(F.element_at(F.split("_path", "/"), -2).rlike(r"^\d+$")).orderBy(*map(F.expr, ORDERS[order])).drop("_path")
 
 
 def plots(stories: DataFrame, meta_text: DataFrame, key: str) -> DataFrame:
