@@ -535,3 +535,19 @@ def test_registered(spark):
     names = {re.match(r"op(\d+)_", n)[1] for n in __spark_entry__.queries() if re.match(r"op\d+_", n)}
     assert names == set(map(str, range(1, 11))) and "pipeline" in __spark_entry__.queries()
     assert json.dumps(__spark_entry__.oracle_sql())
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """Physical plans of the tables that are saved, with the size limit for broadcasts at Spark's own."""
+    seen, save = [], common.Scratch.save
+    monkeypatch.setattr(common.Scratch, "save", lambda self, df, *done: seen.append(df._jdf.queryExecution().executedPlan().toString()) or save(self, df, *done))
+    return seen
+
+
+def test_simhash_sends_no_table_through_the_driver(spark, plans):
+    docs = frame(spark, [(i, f"w{i % 90} x{i % 7} y z") for i in range(200)])
+    plans.append(simhash.near_duplicates(docs)._jdf.queryExecution().executedPlan().toString())
+    scratch = common.Scratch(spark, "test")
+    plans.append(simhash.links(scratch, spark.range(300).select(F.xxhash64("id").alias("fp")))._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in p for p in plans) > 4 and not any("Broadcast" in p for p in plans)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, apart, components
 
 SHINGLE = 3
 SEED = 42
@@ -130,15 +130,15 @@ def links(scratch: Scratch, fps: DataFrame, hot_homes: int = HOT_HOMES) -> DataF
 
     homes = fps.select("fp").mapInArrow(home_of, "anchor long, fp long")
     full = scratch.save(homes.groupBy("anchor").count().select("anchor", (F.col("count") > hot_homes).alias("hot")))
-    homes = scratch.save(homes.join(full, "anchor"), full)
+    homes = scratch.save(homes.join(apart(full), "anchor"), full)
     near = fps.select("fp").mapInArrow(spread, "anchor long, fp long, home boolean").select("anchor", F.col("fp").alias("v"))
     differ = F.expr("bit_count(u ^ v)")
-    cold = homes.filter("not hot").select("anchor", F.col("fp").alias("u")).join(near, "anchor").filter(
+    cold = homes.filter("not hot").select("anchor", F.col("fp").alias("u")).join(apart(near), "anchor").filter(
         (F.col("u") != F.col("v")) & (differ <= THRESHOLD)).select("u", "v")
     around = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")) for i in range(64)])
     middle = homes.filter("hot").select("fp", F.explode(around).alias("z"))
     least = middle.groupBy("z").agg(F.min("fp").alias("v"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    hot = middle.join(least, "z").filter("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+    hot = middle.join(apart(least), "z").filter("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
     return cold.union(hot)
 
 
@@ -153,13 +153,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     marked = scratch.save(fingerprints(docs, key, text, width))
     classes = scratch.save(marked.groupBy("fp").agg(F.min(key).alias("least")))
     roots = components(scratch, links(scratch, classes))
-    tied = classes.join(roots, classes["fp"] == roots["node"], "left").select(
+    tied = classes.join(apart(roots), classes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     lowest = tied.groupBy("root").agg(F.min("least").alias("component"))
     # a table of its own, so that Spark can split the join where a fingerprint has many documents
-    named = scratch.save(tied.join(lowest, "root").select(F.col("fp").alias("fp_"), "component"))
+    named = scratch.save(tied.join(apart(lowest), "root").select(F.col("fp").alias("fp_"), "component"))
     scratch.only(marked, named)
-    return marked.join(named, marked["fp"] == named["fp_"]).select(key, "fp", "component")
+    return marked.join(apart(named), marked["fp"] == named["fp_"]).select(key, "fp", "component")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
