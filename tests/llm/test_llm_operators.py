@@ -3,6 +3,7 @@ repeated rows, empty tables and extra columns with clashing names."""
 
 import collections
 import hashlib
+import itertools
 import json
 import random
 import re
@@ -82,6 +83,18 @@ def test_line_dedup_repeated_and_null_keys(spark):
     assert line_dedup.without_duplicate_lines(frame(spark, [])).count() == 0
 
 
+def test_classes_of_frequent_words_are_not_all_paired(spark, monkeypatch):
+    seen, save = [], common.Scratch.save
+    monkeypatch.setattr(common.Scratch, "save", lambda self, df, *done: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or save(self, df, *done))
+    words = "ab cd ef gh ij kl mn op qr st uv".split()  # each in 210 lines
+    docs = [(1, "\n".join(" ".join(c) for c in itertools.combinations(words, 5))), (2, " ".join(reversed(words[:5])))]
+    got = line_dedup.without_duplicate_lines(frame(spark, docs)).collect()
+    assert {r.doc_id: r.removed for r in got} == {1: [], 2: [0]}
+    joins = [x for plan in seen for x in plan.splitlines() if "Join Inner" in x and "token#" in x]
+    # lengths and signatures are compared before a row is made
+    assert len(joins) == 2 and all("bit_count" in x for x in joins)
+
+
 # ---- 2 -----------------------------------------------------------------------------------------
 def test_mixing_keeps_all_and_stays_within_a_block(spark):
     rng = random.Random(5)
