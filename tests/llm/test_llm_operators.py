@@ -95,6 +95,24 @@ def test_classes_of_frequent_words_are_not_all_paired(spark, monkeypatch):
     assert len(joins) == 2 and all("bit_count" in x for x in joins)
 
 
+@pytest.mark.parametrize("frequent", [0, 12])
+def test_line_dedup_with_rarity_from_a_sample(spark, rows, monkeypatch, frequent):
+    for name, value in {"STRIDE": 4, "SMALL": 1, "LARGE": 1000, "FREQUENT": frequent}.items():
+        monkeypatch.setattr(line_dedup, name, value)
+    docs = [(d, t) for d, t in rows if t is None or len(t) < 3000]
+    # lines at the limits of similarity and of bands of lengths, after a line of each word, which is the earliest there
+    for n in range(1, 100, 3):
+        family = [f"f{n}x{i}" for i in range(n * 5 // 4 + 1)]
+        docs += [(3000 + 2 * n, "\n".join(family)), (3001 + 2 * n, "\n".join(" ".join(family[:k]) for k in (n, n * 5 // 4, n * 5 // 4 + 1)))]
+    docs += [(5000, "p q r s t u\np\tq r s t u\nu t  s r q p\n p q\x0br s\x0ct u\rp")]
+    own = frame(spark, docs).select(F.col("doc_id").alias("rid"), "text")
+    lines, stride = line_dedup.sample(own)
+    assert stride == 4 and 0 < lines.count() < line_dedup.trimmed_lines(own).count() / 2
+    got = line_dedup.without_duplicate_lines(frame(spark, docs)).collect()
+    want = brute_lines(docs)
+    assert {r.doc_id: r.removed for r in got} == {d: sorted(want[d]) for d, _ in docs}
+
+
 # ---- 2 -----------------------------------------------------------------------------------------
 def test_mixing_keeps_all_and_stays_within_a_block(spark):
     rng = random.Random(5)
