@@ -8,6 +8,7 @@ from textloom.operators import chapters as C
 from textloom.operators import checks as K
 from textloom.operators import corpus as S
 from textloom.operators import quotes as Q
+from textloom.plans import queries
 from textloom.profiles import DOWN, JAPANESE, UP
 
 
@@ -147,3 +148,19 @@ def test_rounding_leaves_maps_out(spark):
 def test_violated_metrics_are_a_set(spark):
     rows = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (None, "a")], "doc_id long, metric string")
     assert {r.doc_id: r.metrics for r in K.violated(rows).collect()} == {1: ["a", "b"], None: ["a"]}
+
+
+def _documents(spark, folder, *texts):
+    """A folder with these texts as its documents, from 1."""
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+#: The first is a heading only, so it has no sentences; lengths of the others spread by 1/3 and 0.
+HEADING, SPREAD, EVEN = "Word", "Aa bb. Cc.", "Aaa. Bbb."
+
+
+def test_band_violations_where_a_document_has_no_sentences(spark, tmp_path):
+    got = queries.band_violations(spark, _documents(spark, tmp_path, HEADING, SPREAD, EVEN)).filter("metric = 'sentence_length_cv'").collect()
+    assert {(r.doc_id, r.current, r.target) for r in got} == {(1, 0.0, 1.5 / 4.5), (3, 0.0, 1.5 / 4.5)}  # 0 / 0 is the last of three

@@ -29,10 +29,12 @@ def story_metrics(stories: DataFrame, profile: Profile = JAPANESE, key: str = "d
 
 
 def targets(stats: DataFrame, length: int | None = None, how: str = "median", work: str | None = None) -> DataFrame:
-    """One row: mean or median of each targeted metric over stats; works that are no fiction are left out."""
+    """One row: mean or median of each targeted metric over stats; works that are no fiction are left out.
+    Where sentences have no length, 0 / 0 is not a number: it counts, and is the last in order."""
     if work:
         stats = stats.filter(~F.col(work).isin(*NONFICTION))
-    cv = F.col("sentence_length_cv") if "sentence_length_cv" in stats.columns else F.col("sentence_length_stdev") / F.col("sentence_length_mean")
+    ratio = F.when(F.col("sentence_length_mean") == 0, float("nan")).otherwise(F.col("sentence_length_stdev") / F.col("sentence_length_mean"))
+    cv = F.col("sentence_length_cv") if "sentence_length_cv" in stats.columns else ratio
     own = stats.withColumn("sentence_length_cv", cv)
     count = own.agg(F.lit(length).cast("double").alias("characters"), F.count("*").alias("works"), *([F.avg(m).alias(m) for m in TARGETED] if how == "mean" else []))
     if how != "mean":

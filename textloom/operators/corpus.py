@@ -55,8 +55,8 @@ FINE = 4096
 
 
 def _bucket(v: Column) -> Column:
-    """A whole number that never falls as v grows."""
-    size = lambda x: F.floor(F.log2(x) * FINE) + (1 << 30)
+    """A whole number that never falls as v grows; what is no number comes last, with infinity."""
+    size = lambda x: F.when(x < float("inf"), F.floor(F.log2(x) * FINE) + (1 << 30)).otherwise(F.lit(1 << 31))
     return F.when(v > 0, size(v)).when(v < 0, -size(-v)).otherwise(F.lit(0).cast("long"))
 
 
