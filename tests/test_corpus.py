@@ -1,6 +1,7 @@
 """Corpus, chapter, check and quote operators on small literal inputs."""
 
 import json
+import math
 
 from pyspark.sql import functions as F
 
@@ -164,3 +165,17 @@ HEADING, SPREAD, EVEN = "Word", "Aa bb. Cc.", "Aaa. Bbb."
 def test_band_violations_where_a_document_has_no_sentences(spark, tmp_path):
     got = queries.band_violations(spark, _documents(spark, tmp_path, HEADING, SPREAD, EVEN)).filter("metric = 'sentence_length_cv'").collect()
     assert {(r.doc_id, r.current, r.target) for r in got} == {(1, 0.0, 1.5 / 4.5), (3, 0.0, 1.5 / 4.5)}  # 0 / 0 is the last of three
+
+
+def test_style_targets_where_documents_have_no_sentences(spark, tmp_path):
+    few = queries.style_targets(spark, _documents(spark, tmp_path / "few", HEADING, SPREAD, EVEN)).first()
+    assert (few.sentence_length_mean, few.sentence_length_cv, few.works) == (4.0, 1.5 / 4.5, 3)
+    most = queries.style_targets(spark, _documents(spark, tmp_path / "most", HEADING, HEADING, EVEN)).first()
+    assert most.sentence_length_mean == 0.0 and math.isnan(most.sentence_length_cv) and most.works == 3
+
+
+def test_what_is_no_number_is_last_in_order(spark):
+    values = [float("-inf"), -2.0, 0.0, 0.5, 5.0, float("inf"), float("inf"), float("nan"), float("nan")]
+    rows = spark.createDataFrame([(v,) for v in reversed(values)], "x double")
+    got = S.order_statistics(rows, ("x",), {f"r{i}": (lambda n, i=i: F.lit(i)) for i in range(len(values))}).first()
+    assert [repr(got[f"r{i}"]) for i in range(len(values))] == [repr(v) for v in values] and got.n == len(values)
