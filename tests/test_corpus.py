@@ -179,3 +179,8 @@ def test_what_is_no_number_is_last_in_order(spark):
     rows = spark.createDataFrame([(v,) for v in reversed(values)], "x double")
     got = S.order_statistics(rows, ("x",), {f"r{i}": (lambda n, i=i: F.lit(i)) for i in range(len(values))}).first()
     assert [repr(got[f"r{i}"]) for i in range(len(values))] == [repr(v) for v in values] and got.n == len(values)
+
+
+def test_violated_metrics_where_a_document_has_no_sentences(spark, tmp_path):
+    got = queries.violated_metrics(spark, _documents(spark, tmp_path, HEADING, SPREAD, EVEN)).collect()
+    assert {r.doc_id: r.metrics for r in got} == {1: "characters,sentence_length_cv", 2: "characters", 3: "characters,sentence_length_cv"}
